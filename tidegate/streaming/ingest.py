@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -231,6 +231,18 @@ def rollup_ingest_stream(
     return start_ingest(read_rollup_streams(spark, source), job, checkpoint, **kwargs)
 
 
+def stop_on_error(query: StreamingQuery) -> str | None:
+    """Wait for a query that may fail; the message of the failure, or None.
+
+    Its batch is not committed: started again, the same batch runs again.
+    """
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as error:
+        return str(error)
+    return None
+
+
 class BatchReporter(StreamingQueryListener):
     """Counts the batches since start and reports every ``REPORT_EVERY``."""
 
