@@ -233,7 +233,7 @@ def routes(rows: DataFrame) -> DataFrame:
         .select(
             "tenant_id",
             "measurement",
-            F.format_string("http://data-influxdb-%d:8086", u % 3).alias("path"),
+            F.format_string("http://data-influxdb-%d:8086", u % 10 % 3).alias("path"),
             F.format_string("db_%d", u % 10).alias("database"),
             "user_id",
             F.inline(policies),

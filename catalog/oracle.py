@@ -101,8 +101,8 @@ levels(rank, rollup_level, retention_policy, retention) AS (VALUES
   (3, '60m', 'rp_155d', '155d'), (4, '240m', 'rp_300d', '300d'), (5, '1440m', 'rp_1825d', '1825d')),
 routes AS (
   SELECT tenant_id, measurement, rank, rollup_level, retention_policy, retention,
-    'http://data-influxdb-' || (user_id % 3) || ':8086' AS path,
-    'data-influxdb-' || (user_id % 3) AS host, 'db_' || (user_id % 10) AS "database"
+    'http://data-influxdb-' || (user_id % 10 % 3) || ':8086' AS path,
+    'data-influxdb-' || (user_id % 10 % 3) AS host, 'db_' || (user_id % 10) AS "database"
   FROM keys, levels
   WHERE user_id % 13 <> 12 AND (user_id % 11 <> 10 OR rollup_level <> 'full')
 )"""
@@ -598,7 +598,7 @@ counted AS (SELECT host, "database", retention_policy, measurement, count(*) AS
         coalesce(verdict, 'no_timestamp') AS reason, count(*) AS records FROM rjudged GROUP BY ALL""",
     )
     o["fetch_limits"] = _select(
-        _STREAM, "SELECT CAST(4 AS BIGINT) AS batches, count(*) AS points FROM stored"
+        _STREAM, "SELECT CAST(2 AS BIGINT) AS batches, count(*) AS points FROM stored"
     )
     o["provisioning_stream"] = _select(
         f"""{_STREAM},
@@ -613,7 +613,7 @@ seen AS (SELECT r.* FROM routes r WHERE EXISTS (SELECT 1 FROM stored s
         FROM stored GROUP BY ALL""",
     )
     o["batch_counter"] = _select(
-        _RAW, "SELECT CAST(3 AS BIGINT) AS batches, count(*) AS records FROM raw"
+        _RAW, "SELECT CAST(2 AS BIGINT) AS batches, count(*) AS records FROM raw"
     )
 
     # --- restore

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Plain decimal text: one fraction digit at least, as many as needed, no exponent.
@@ -18,22 +18,36 @@ def escape(text: Column) -> Column:
     return text
 
 
-def unescape(text: Column) -> Column:
+def decimal_text(value: Column) -> Column:
+    return F.call_function("format_number", value, F.lit(_DECIMAL))
+
+
+def _holds_escaped(texts: Column) -> Column:
+    found = F.lit(False)
     for symbol in _ESCAPED:
-        text = F.replace(text, F.lit("\\" + symbol), F.lit(symbol))
-    return text
+        found = found | texts.contains(symbol)
+    return found
 
 
-def decimal_text(value: Column) -> Column:
-    return F.call_function("format_number", value, F.lit(_DECIMAL))
+def _pairs(values: Column, value_text, plain_values: bool) -> Column:
+    """``key=value`` texts of a map in key order, separated by commas.
 
+    Searching each text three times for something to escape is most of the work, so
+    it is done only in rows that hold any of it. ``plain_values`` says that value
+    texts never do.
+    """
+    entries = F.sort_array(F.map_entries(values))
+    keep = lambda part: part
 
-def _pairs(entries: Column, text) -> Column:
-    """``key=value`` texts in key order."""
-    return F.transform(
-        F.sort_array(entries),
-        lambda e: F.concat(escape(e["key"]), F.lit("="), text(e["value"])),
-    )
+    def joined(key, value) -> Column:
+        pairs = F.transform(
+            entries, lambda e: F.concat(key(e["key"]), F.lit("="), value(value_text(e["value"])))
+        )
+        return F.array_join(pairs, ",")
+
+    texts = [F.map_keys(values)] if plain_values else [F.map_keys(values), F.map_values(values)]
+    escaping = joined(escape, keep if plain_values else escape)
+    return F.when(_holds_escaped(F.concat_ws("", *texts)), escaping).otherwise(joined(keep, keep))
 
 
 def encode_line(
@@ -44,56 +58,70 @@ def encode_line(
     int_fields: Column | None = None,
 ) -> Column:
     """One line; tags and fields in key order, the time left out when NULL."""
-    series = F.concat(F.array(escape(measurement)), _pairs(F.map_entries(tags), escape))
     if int_fields is None:
-        values = _pairs(F.map_entries(fields), decimal_text)
+        values = _pairs(fields, decimal_text, plain_values=True)
     else:
         texts = F.map_concat(
             F.transform_values(fields, lambda _, v: decimal_text(v)),
             F.transform_values(int_fields, lambda _, v: F.concat(v.cast("string"), F.lit("i"))),
         )
-        values = _pairs(F.map_entries(texts), lambda v: v)
-    return F.concat_ws(" ", F.array_join(series, ","), F.array_join(values, ","), seconds.cast("string"))
+        values = _pairs(texts, lambda v: v, plain_values=True)
+    tag_text = F.when(F.size(tags) > 0, _pairs(tags, lambda v: v, plain_values=False))
+    return F.concat_ws(" ", F.concat_ws(",", escape(measurement), tag_text), values, seconds.cast("string"))
 
 
-def _split(text: Column, symbol: str, limit: int = -1) -> Column:
-    """Split at a symbol that no backslash escapes."""
-    return F.split(text, r"(?<!\\)" + symbol, limit)
+# Two-character codes for escaped symbols while a line is split; the first also
+# codes itself, so a line may hold any character.
+_CODE = "\x01"
+_CODES = {"a": _CODE, "b": "\\ ", "c": "\\,", "d": "\\="}
 
 
-def _key_values(parts: Column) -> Column:
-    return F.transform(
-        parts,
-        lambda p: F.struct(
-            unescape(F.element_at(_split(p, "=", 2), 1)).alias("key"),
-            F.element_at(_split(p, "=", 2), 2).alias("value"),
-        ),
-    )
+def _coded(line: Column) -> Column:
+    for code, escaped in _CODES.items():
+        line = F.replace(line, F.lit(escaped), F.lit(_CODE + code))
+    return line
+
+
+def _decoded(text: Column) -> Column:
+    for code, escaped in reversed(_CODES.items()):
+        text = F.replace(text, F.lit(_CODE + code), F.lit(escaped.lstrip("\\")))
+    return text
 
 
-def parse_line(line: Column) -> Column:
-    """STRUCT<measurement, tags, fields, int_fields, ts_s> of one line."""
-    sections = _split(line, " ")
-    head = _split(F.element_at(sections, 1), ",")
-    tags = _key_values(F.slice(head, F.lit(2), F.size(head)))
-    fields = _key_values(_split(F.try_element_at(sections, F.lit(2)), ","))
-    is_int = lambda e: e["value"].endswith("i")
-    return F.struct(
-        unescape(F.element_at(head, 1)).alias("measurement"),
-        F.map_from_entries(
-            F.transform(tags, lambda e: F.struct(e["key"], unescape(e["value"])))
-        ).alias("tags"),
-        F.map_from_entries(
-            F.transform(
-                F.filter(fields, lambda e: ~is_int(e)),
-                lambda e: F.struct(e["key"], e["value"].try_cast("double")),
-            )
-        ).alias("fields"),
-        F.map_from_entries(
-            F.transform(
-                F.filter(fields, is_int),
-                lambda e: F.struct(e["key"], F.rtrim(e["value"], F.lit("i")).try_cast("bigint")),
-            )
-        ).alias("int_fields"),
-        F.try_element_at(sections, F.lit(3)).try_cast("bigint").alias("ts_s"),
+def parse_lines(rows: DataFrame) -> DataFrame:
+    """Add measurement, tags, fields, int_fields and ts_s of each ``line``."""
+    series, values = F.element_at("_parts", 1), F.try_element_at("_parts", F.lit(2))
+    head = F.substring_index(series, ",", 1)
+    tag_text = F.substr(series, F.length(head) + 2)
+    split = (
+        rows.withColumn("_coded", _coded(F.col("line")))
+        .withColumn("_parts", F.split("_coded", " "))
+        .withColumns(
+            {
+                "_head": head,
+                "_tags": F.when(tag_text == "", F.create_map().cast("map<string,string>")).otherwise(
+                    F.str_to_map(tag_text, F.lit(","), F.lit("="))
+                ),
+                "_values": F.str_to_map(values, F.lit(","), F.lit("=")),
+            }
+        )
+    )
+
+    def plain(texts: Column) -> Column:
+        whole = F.map_from_arrays(
+            F.transform(F.map_keys(texts), _decoded), F.transform(F.map_values(texts), _decoded)
+        )
+        return F.when(F.col("_coded").contains(_CODE), whole).otherwise(texts)
+
+    parsed = split.withColumns({"_tags": plain(F.col("_tags")), "_values": plain(F.col("_values"))})
+    kept = [name for name in rows.columns if name not in ("measurement", "tags", "fields", "int_fields", "ts_s")]
+    doubles = F.map_filter("_values", lambda _, v: ~v.endswith("i"))
+    whole = F.map_filter("_values", lambda _, v: v.endswith("i"))
+    return parsed.select(
+        *kept,
+        _decoded(F.col("_head")).alias("measurement"),
+        F.col("_tags").alias("tags"),
+        F.transform_values(doubles, lambda _, v: v.try_cast("double")).alias("fields"),
+        F.transform_values(whole, lambda _, v: F.rtrim(v, F.lit("i")).try_cast("bigint")).alias("int_fields"),
+        F.try_element_at("_parts", F.lit(3)).try_cast("bigint").alias("ts_s"),
     )

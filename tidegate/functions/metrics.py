@@ -21,8 +21,12 @@ def _ordered(values: Column) -> Column:
     return F.sort_array(F.map_entries(values))
 
 
+def _unit_tag(name: Column) -> Column:
+    return F.concat(name, F.lit("_unit"))
+
+
 def raw_metrics(ivalues: Column, fvalues: Column, units: Column) -> Column:
-    """ARRAY<STRUCT<kind, key, name, value, unit>> of a raw record."""
+    """ARRAY<STRUCT<kind, key, name, value, unit_tag, unit>> of a raw record."""
 
     def entries(values: Column, kind: str) -> Column:
         return F.transform(
@@ -32,6 +36,7 @@ def raw_metrics(ivalues: Column, fvalues: Column, units: Column) -> Column:
                 e["key"].alias("key"),
                 sanitize(e["key"]).alias("name"),
                 e["value"].alias("value"),
+                _unit_tag(sanitize(e["key"])).alias("unit_tag"),
                 F.coalesce(F.try_element_at(units, e["key"]), F.lit(NO_UNIT)).alias("unit"),
             ),
         )
@@ -41,11 +46,11 @@ def raw_metrics(ivalues: Column, fvalues: Column, units: Column) -> Column:
 
 def raw_fields(metrics: Column) -> Column:
     """MAP name -> value."""
-    return F.map_from_entries(F.transform(metrics, lambda m: F.struct(m["name"], m["value"])))
+    return F.map_from_arrays(metrics["name"], metrics["value"])
 
 
 def rollup_metrics(ivalues: Column, fvalues: Column, units: Column) -> Column:
-    """ARRAY<STRUCT<kind, key, name, min, mean, max, unit>> of a rollup record.
+    """ARRAY<STRUCT<kind, key, name, min, mean, max, unit_tag, unit>> of a rollup record.
 
     A missing unit stays NULL here: such a rollup cannot become a point.
     """
@@ -60,6 +65,7 @@ def rollup_metrics(ivalues: Column, fvalues: Column, units: Column) -> Column:
                 e["value"]["min"].alias("min"),
                 e["value"]["mean"].alias("mean"),
                 e["value"]["max"].alias("max"),
+                _unit_tag(sanitize(e["key"])).alias("unit_tag"),
                 F.try_element_at(units, e["key"]).alias("unit"),
             ),
         )
@@ -70,21 +76,20 @@ def rollup_metrics(ivalues: Column, fvalues: Column, units: Column) -> Column:
 
 def rollup_fields(metrics: Column) -> Column:
     """MAP ``<name>_min|_mean|_max`` -> value."""
+    parts = ("min", "mean", "max")
 
-    def three(m: Column) -> Column:
-        return F.array(
-            *(
-                F.struct(F.concat(m["name"], F.lit(f"_{part}")).alias("key"), m[part].alias("value"))
-                for part in ("min", "mean", "max")
-            )
-        )
+    def named(part: str) -> Column:
+        return F.transform(metrics["name"], lambda name: F.concat(name, F.lit(f"_{part}")))
 
-    return F.map_from_entries(F.flatten(F.transform(metrics, three)))
+    return F.map_from_arrays(F.concat(*map(named, parts)), F.concat(*(metrics[part] for part in parts)))
 
 
 def unit_tags(metrics: Column) -> Column:
     """MAP ``<name>_unit`` -> unit. An empty unit sets no tag, so it also replaces none."""
-    named = F.filter(metrics, lambda m: m["unit"] != "")
-    return F.map_from_entries(
-        F.transform(named, lambda m: F.struct(F.concat(m["name"], F.lit("_unit")), m["unit"]))
-    )
+
+    def as_map(named: Column) -> Column:
+        return F.map_from_arrays(named["unit_tag"], named["unit"])
+
+    odd = F.array_contains(metrics["unit"], "") | F.exists(metrics["unit"], F.isnull)
+    given = F.filter(metrics, lambda m: m["unit"] != "")
+    return F.when(odd, as_map(given)).otherwise(as_map(metrics))

@@ -12,16 +12,16 @@ def _empty() -> Column:
     return F.create_map().cast("map<string,string>")
 
 
-def _tag(name: str, value: Column) -> Column:
-    return F.create_map(F.lit(name), value)
+def _given(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")) != ""
 
 
-def _tag_if(present: Column, name: str, value: Column) -> Column:
-    return F.when(present, _tag(name, value)).otherwise(_empty())
+def _quoted(name: str) -> list[Column]:
+    return [F.lit(name), wrap(trim_controls(F.col(name)))]
 
 
-def _given(text: Column) -> Column:
-    return F.coalesce(text, F.lit("")) != ""
+def _metadata(name: str) -> Column:
+    return F.coalesce(F.transform_values(name, lambda _, v: wrap(v)), _empty())
 
 
 def build_tags(tenant: Column, units: Column | None = None) -> Column:
@@ -32,29 +32,27 @@ def build_tags(tenant: Column, units: Column | None = None) -> Column:
     three tags and the units are plain, all others are quoted. A tag without
     name or value is left out.
     """
-    c = F.col
-    plain = F.create_map(
-        F.lit("tenantId"), tenant,
-        F.lit("accountType"), trim_controls(c("accountType")),
-        F.lit("account"), trim_controls(c("account")),
-    )
-    has_device = _given(c("device"))
-    quoted = F.map_concat(
-        F.when(
-            has_device,
-            F.create_map(
-                F.lit("device"), trim_controls(c("device")),
-                F.lit("deviceLabel"), trim_controls(c("deviceLabel")),
-            ),
-        ).otherwise(_empty()),
-        F.coalesce(c("deviceMetadata"), _empty()),
-        _tag("monitoringSystem", trim_controls(c("monitoringSystem"))),
-        F.coalesce(c("systemMetadata"), _empty()),
-        _tag("collectionName", trim_controls(c("collectionName"))),
-        _tag_if(_given(c("collectionLabel")), "collectionLabel", trim_controls(c("collectionLabel"))),
-        _tag_if(_given(c("collectionTarget")), "collectionTarget", trim_controls(c("collectionTarget"))),
-    )
-    parts = [plain, F.transform_values(quoted, lambda _, v: wrap(v))]
+    account_type, account = trim_controls(F.col("accountType")), trim_controls(F.col("account"))
+    plain = [F.lit("tenantId"), tenant, F.lit("accountType"), account_type, F.lit("account"), account]
+    device = [*_quoted("device"), *_quoted("deviceLabel")]
+    label, target = _quoted("collectionLabel"), _quoted("collectionTarget")
+    has_label, has_target = _given(F.col("collectionLabel")), _given(F.col("collectionTarget"))
+    name = _quoted("collectionName")
+    parts = [
+        F.when(_given(F.col("device")), F.create_map(*plain, *device)).otherwise(F.create_map(*plain)),
+        _metadata("deviceMetadata"),
+        F.create_map(*_quoted("monitoringSystem")),
+        _metadata("systemMetadata"),
+        F.when(has_label & has_target, F.create_map(*name, *label, *target))
+        .when(has_label, F.create_map(*name, *label))
+        .when(has_target, F.create_map(*name, *target))
+        .otherwise(F.create_map(*name)),
+    ]
     if units is not None:
         parts.append(units)
-    return F.map_filter(F.map_concat(*parts), lambda k, v: (k != "") & (v != ""))
+    merged = F.map_concat(*parts)
+    # Only these can be empty: quoted values never are, empty units were left out.
+    blank = (account_type == "") | (account == "")
+    for metadata in ("deviceMetadata", "systemMetadata"):
+        blank = blank | F.coalesce(F.map_contains_key(metadata, ""), F.lit(False))
+    return F.when(blank, F.map_filter(merged, lambda k, v: (k != "") & (v != ""))).otherwise(merged)

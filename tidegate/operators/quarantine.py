@@ -41,43 +41,38 @@ def _unfit_dimension() -> Column:
     )
 
 
-def _is_finite(value: Column) -> Column:
-    return F.abs(value) < float("inf")  # false for NaN, which Spark sorts above infinity
+def _all_finite(values: Column) -> Column:
+    """True if no number of the array is NULL, infinite or NaN (which sorts above infinity)."""
+    return F.forall(values, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)))
 
 
 def raw_reason(metrics: Column, seconds: Column) -> Column:
     """First reason why a decoded raw record is no point."""
     c = F.col
+    values = metrics["value"]
     return F.coalesce(
         timestamp_gate(c("timestamp")),
         mandatory_identity(c("accountType"), c("monitoringSystem")),
         _unfit_dimension(),
-        F.when(metrics.isNull() | F.exists(metrics, lambda m: m["value"].isNull()), "null_value"),
+        F.when(metrics.isNull() | F.exists(values, F.isnull), "null_value"),
         F.when(seconds.isNull(), "unparsable_time"),
         F.when(F.size(metrics) == 0, "no_fields"),
-        F.when(F.exists(metrics, lambda m: ~_is_finite(m["value"])), "non_finite_field"),
+        F.when(~_all_finite(values), "non_finite_field"),
     )
 
 
 def rollup_reason(metrics: Column) -> Column:
     """First reason why a decoded rollup record is no point."""
     c = F.col
-    parts = ("min", "mean", "max")
+    values = F.concat(metrics["min"], metrics["mean"], metrics["max"])
     return F.coalesce(
         mandatory_identity(c("accountType"), c("monitoringSystem")),
         _unfit_dimension(),
         F.when(metrics.isNull(), "null_values"),
-        F.when(F.exists(metrics, lambda m: m["unit"].isNull()), "missing_unit"),
+        F.when(F.exists(metrics["unit"], F.isnull), "missing_unit"),
         F.when(
-            F.exists(metrics, lambda m: m["min"].isNull() | m["mean"].isNull() | m["max"].isNull()),
-            "null_bucket",
-        ),
-        F.when(
-            F.exists(
-                metrics,
-                lambda m: ~(_is_finite(m["min"]) & _is_finite(m["mean"]) & _is_finite(m["max"])),
-            ),
-            "non_finite_field",
+            ~_all_finite(values),
+            F.when(F.exists(values, F.isnull), "null_bucket").otherwise("non_finite_field"),
         ),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.lines import parse_line
+from tidegate.functions.lines import parse_lines
 from tidegate.functions.times import utc_day
 from tidegate.sources.backup import read_backup
 from tidegate.sources.layout import ROWS_PER_FILE
@@ -14,16 +14,7 @@ from tidegate.sources.points_table import PLACE, UNDATED, write_points
 
 def restored_points(spark: SparkSession, backup: str, host: str | None = None) -> DataFrame:
     """Points parsed from the backup, of one instance or of all."""
-    lines = read_backup(spark, backup, host)
-    return lines.withColumn("_p", parse_line(F.col("line"))).select(
-        "host", "database", "retention_policy",
-        F.col("_p.measurement").alias("measurement"),
-        F.col("_p.tags").alias("tags"),
-        F.col("_p.fields").alias("fields"),
-        F.col("_p.int_fields").alias("int_fields"),
-        F.col("_p.ts_s").alias("ts_s"),
-        "line",
-    )
+    return parse_lines(read_backup(spark, backup, host).drop("day"))
 
 
 def _stored(points: DataFrame) -> DataFrame:

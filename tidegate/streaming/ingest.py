@@ -47,7 +47,7 @@ class BatchRefused(RuntimeError):
 class Sinks:
     """Folders written per batch. A sink that is None is switched off."""
 
-    points: str
+    points: str | None
     dead_letter: str
     ops: str | None = None
     backup: str | None = None
@@ -101,9 +101,9 @@ def ingest_batch(messages: DataFrame, batch_id: int, job: IngestJob) -> None:
             _provision(sound, routes, batch_id, job)
         if job.sinks.backup is not None:
             write_backup(backup, _of_batch(job.sinks.backup, batch_id), job.rows_per_file, mode="overwrite")
-        write_points(
-            stored_points(sound), _of_batch(job.sinks.points, batch_id), job.rows_per_file, mode="overwrite"
-        )
+        if job.sinks.points is not None:
+            target = _of_batch(job.sinks.points, batch_id)
+            write_points(stored_points(sound), target, job.rows_per_file, mode="overwrite")
         _write_dead_letters(rows, backup, batch_id, job)
         if job.sinks.ops is not None:
             write_ops_metrics(rows, batch_id, job)
