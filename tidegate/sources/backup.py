@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tidegate.functions.places import dml_header, instance_host, payload_timestamp, utc_day
 from tidegate.functions.text import has_text
-from tidegate.sources.layout import ROWS_PER_FILE, with_slice
+from tidegate.sources.layout import ROWS_PER_FILE, spread
 
 # Directory levels, outermost first; names are URL-encoded inside them.
 PLACE = ("host", "database", "retention_policy", "day")
@@ -58,13 +58,12 @@ def backup_manifest(lines: DataFrame) -> DataFrame:
     return lines.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("lines"))
 
 
-def with_headers(lines: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """Lines laid out for writing: the first of each file carries the header.
+def with_headers(sliced: DataFrame) -> DataFrame:
+    """Rows of ``spread`` laid out for writing: the first of each file carries the header.
 
-    One shuffle on (place, slice) and one sort serve the header and the write: rows
-    of a file are neighbours, in order of arrival.
+    The shuffle on (place, slice) and one sort serve the header and the write: rows of
+    a file are neighbours, in order of arrival.
     """
-    sliced = with_slice(lines, PLACE, rows_per_file)
     window = Window.partitionBy(*PLACE, "slice").orderBy("topic", "partition", "offset")
     header = dml_header(F.col("database"), F.col("retention_policy"))
     return sliced.withColumn("_nth", F.row_number().over(window)).select(
@@ -89,14 +88,15 @@ def write_backup(
     if not enabled:
         return
     sound = lines.where(F.col("backup_reason").isNull())
-    (
-        with_headers(sound, rows_per_file)
-        .write.mode(mode)
-        .partitionBy(*PLACE)
-        .option("compression", "gzip")
-        .option("lineSep", "\n")
-        .text(folder)
-    )
+    with spread(sound, PLACE, rows_per_file) as sliced:
+        (
+            with_headers(sliced)
+            .write.mode(mode)
+            .partitionBy(*PLACE)
+            .option("compression", "gzip")
+            .option("lineSep", "\n")
+            .text(folder)
+        )
 
 
 def _read(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.places import instance_host
 from tidegate.functions.times import utc_day
-from tidegate.sources.layout import ROWS_PER_FILE, with_slice
+from tidegate.sources.layout import ROWS_PER_FILE, spread
 
 PLACE = ("host", "database", "retention_policy", "day")
 STORED = ("level", "tenant_id", "measurement", "tags", "fields", "int_fields", "ts_s")
@@ -36,15 +36,14 @@ def write_points(
     place: tuple[str, ...] = PLACE,
 ) -> None:
     """Write rows of ``stored_points``; series lie together inside each file."""
-    sliced = with_slice(stored, place, rows_per_file)
-    (
-        sliced.repartition(*place, "slice")
-        .sortWithinPartitions(*place, "slice", "measurement", "tenant_id", "ts_s")
-        .select(*(name for name in STORED if name in stored.columns), *place)
-        .write.mode(mode)
-        .partitionBy(*place)
-        .parquet(folder)
-    )
+    with spread(stored, place, rows_per_file) as sliced:
+        (
+            sliced.sortWithinPartitions(*place, "slice", "measurement", "tenant_id", "ts_s")
+            .select(*(name for name in STORED if name in stored.columns), *place)
+            .write.mode(mode)
+            .partitionBy(*place)
+            .parquet(folder)
+        )
 
 
 def read_points(spark: SparkSession, folder: str) -> DataFrame:
