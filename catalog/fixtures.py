@@ -27,15 +27,14 @@ _MINUTES = (5, 20, 60, 240, 1440)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
-
-
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    """The table, in at least as many partitions as there are cores.
+
+    A file of one row group is one task, however many cores wait; only such small
+    inputs are shuffled. A large table has more splits than cores and is left alone.
+    """
+    rows = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, "event_id")
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:
