@@ -259,10 +259,6 @@ policies AS (SELECT path, "database", retention_policy FROM routes WHERE false)"
 
 _WHITESPACE = r"'[\t-\r\x1c-\x20]'"
 
-_LETTERS = """SELECT stage, reason, count(*) AS records FROM ({rows}) GROUP BY ALL"""
-
-_JSON_MAP = "'{{' || {items} || '}}'"
-
 
 def _raw_json() -> str:
     values = """CASE WHEN NOT has_values THEN '{}'

@@ -29,7 +29,6 @@ from tidegate.sources.wire import WireSource, read_raw_stream, read_rollup_strea
 from tidegate.streaming.ingest import (
     IngestJob,
     Sinks,
-    ops_rows,
     raw_ingest_stream,
     rollup_ingest_stream,
     stop_on_error,

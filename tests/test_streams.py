@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tests.records import RAW, ROLLUP, messages
 from tidegate.schemas import ROUTES
