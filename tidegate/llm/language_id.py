@@ -169,3 +169,17 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """Rows of ``docs`` (all their columns) whose language is known with a score of ``least`` or more; no null ids."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            got = shared.value.predict(as_bytes(batch.column("lowered")))
+            known = pa.array([p[0] != UNKNOWN and p[1] >= least for p in got], pa.bool_())
+            yield batch.drop_columns(["lowered"]).filter(known)
+
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    return rows.withColumn("lowered", F.lower("text")).mapInArrow(run, docs.schema)

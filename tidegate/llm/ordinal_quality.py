@@ -31,11 +31,11 @@ class Settings:
     training_rows: int = 4000
     bits: int = 12
     orders: tuple[int, ...] = (1, 2, 3)
-    penalty: float = 3e-3
-    rounds: int = 250
-    rate: float = 0.05
+    penalty: float = 2e-5
+    rounds: int = 400
+    rate: float = 0.1
     least: int = 1
-    limit: float = 0.5
+    limit: float = 0.4
 
 
 @dataclass
@@ -61,7 +61,7 @@ def fit(x: np.ndarray, rank: np.ndarray, n_grades: int, penalty: float, rounds:
     for step in range(1, rounds + 1):
         w, t0, gaps = values[: x.shape[1]], values[x.shape[1]], np.exp(values[x.shape[1] + 1 :])
         t = t0 + np.concatenate([[0.0], np.cumsum(gaps)])
-        level = x @ w
+        level = x @ w.astype(x.dtype)
         above = np.concatenate([np.ones((len(x), 1)), 1.0 / (1.0 + np.exp(np.clip(t[None, :] - level[:, None], -40, 40))), np.zeros((len(x), 1))], axis=1)
         chance = np.maximum(above[np.arange(len(x)), rank] - above[np.arange(len(x)), rank + 1], 1e-12)
         slope = above * (1 - above)
@@ -71,7 +71,7 @@ def fit(x: np.ndarray, rank: np.ndarray, n_grades: int, penalty: float, rounds:
         for j in range(k):
             by_t[j] = (each * np.where(rank == j + 1, here, 0.0) / chance).sum() - (each * np.where(rank == j, after, 0.0) / chance).sum()
         tail = by_t[::-1].cumsum()[::-1]
-        gradient = np.concatenate([x.T @ by_level + penalty * w, [tail[0]], tail[1:] * gaps])
+        gradient = np.concatenate([x.T @ by_level.astype(x.dtype) + penalty * w, [tail[0]], tail[1:] * gaps])
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         values = values - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)

@@ -38,9 +38,9 @@ class Settings:
     least_rows: int = 8
     least_ratio: float = 25.0
     folds: int = 5
-    penalty: float = 1e-3
+    penalty: float = 1e-5
     rounds: int = 25
-    limit: float = 0.5
+    limit: float = 0.3
 
 
 @dataclass
@@ -168,3 +168,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     schema = ", ".join(["doc_id long", *(f"{c} double" for c in names), "toxic boolean"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+
+
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows of ``docs`` (all their columns) that the last category's model does not call toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in chunks(batches):
+            p = model.probabilities(as_bytes(batch.column("text")))
+            yield batch.filter(pa.array(p[:, -1] < model.settings.limit))
+
+    return docs.mapInArrow(run, docs.schema)
