@@ -8,6 +8,8 @@ with spaces in a row, are encoded in one piece. All ways give the ids of the who
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -21,8 +23,8 @@ END = 0
 # White space besides the plain space and the line feed, or a space in a row with either.
 _ODD = r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|  | \n|\n "
 _MARKS = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
-# Marks the first part of a text, which has no space before it; texts that hold it are not cut.
-_FIRST = "\r"
+# Marks a part that has no space before it; texts that hold it are not cut.
+_BARE = "\r"
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -49,7 +51,6 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.stems: dict[str, list[int]] = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.starts = np.zeros(1 << 12, np.int64)
         self.lengths = np.zeros(1 << 12, np.int64)
@@ -58,26 +59,15 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _stem(self, text: str) -> list[int]:
-        ids = self.stems.get(text)
-        if ids is None:
-            bare = text[1:] if text[:1] == " " else text
-            if bare.isalpha() and max(bare) < "ɐ":
-                ids = [x.id for x in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
-            else:
-                ids = self._whole([text])[0]
-            self.stems[text] = ids
-        return ids
-
-    def _part(self, part: str) -> list[int]:
-        text = part if part[:1] == "\n" else part[1:] if part[:1] == _FIRST else " " + part
-        stem = text.rstrip(_MARKS)
-        if len(stem) == len(text) or not stem[-1:].isalpha():
-            return self._stem(text)
-        return self._stem(stem) + self._stem(text[len(stem) :])
-
-    def _learn(self, parts: list[str]) -> None:
-        got = list(map(self._part, parts))
+    def _ids(self, key: str) -> list[int]:
+        text = key if key[:1] == "\n" else key[1:] if key[:1] == _BARE else " " + key
+        bare = text[1:] if text[:1] == " " else text
+        if bare.isalpha() and max(bare) < "ɐ":
+            return [x.id for x in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
+        return self._whole([text])[0]
+
+    def _learn(self, keys: list[str]) -> None:
+        got = list(map(self._ids, keys))
         lengths = np.fromiter(map(len, got), np.int64, len(got))
         total, n = int(lengths.sum()), len(self.known)
         while self.used + total > len(self.flat):
@@ -85,46 +75,84 @@ class Encoder:
         while n + len(got) > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-        self.flat[self.used : self.used + total] = np.fromiter((x for ids in got for x in ids), np.int32, total)
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(got), np.int32, total)
         self.starts[n : n + len(got)] = self.used + np.cumsum(lengths) - lengths
         self.lengths[n : n + len(got)] = lengths
         self.used += total
-        self.known.update(zip(parts, range(n, n + len(got))))
+        self.known.update(zip(keys, range(n, n + len(got))))
 
-    def _places(self, parts: list[str]) -> np.ndarray:
-        missing = [p for p in dict.fromkeys(parts) if p not in self.known]
+    def _places(self, keys: list[str]) -> np.ndarray:
+        known = self.known
+        missing = [k for k in dict.fromkeys(keys) if k not in known]
         if missing:
             self._learn(missing)
-        return np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        return np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts one after another, where each part's begin, and how many it has.
+
+        Marks at the end of a part that follow a letter have ids of their own, so ``word,`` costs no more than ``word``.
+        """
+        stems = pc.ascii_rtrim(parts, characters=_MARKS)
+        marked = pc.and_(pc.not_equal(pc.binary_length(stems), pc.binary_length(parts)), pc.match_substring_regex(stems, r"\p{L}\z"))
+        stems = pc.if_else(marked, stems, parts)
+        coded = stems.dictionary_encode()
+        stem_at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        with_tail = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        cut = pc.binary_length(stems).to_numpy(zero_copy_only=False)[with_tail]
+        texts = parts.take(pa.array(with_tail)).cast(pa.large_binary()).to_pylist()
+        tails = [_BARE + t[c:].decode() for t, c in zip(texts, cut)]
+        # Entry 0 of each pair is the stem's, entry 1 the marks', both as places in ``flat``.
+        at = np.zeros(2 * len(parts), np.int64)
+        at[::2] = stem_at
+        at[2 * with_tail + 1] = self._places(tails)
+        lengths = self.lengths[at]
+        bare = np.ones(len(parts), bool)
+        bare[with_tail] = False
+        lengths[1::2][bare] = 0
+        flat = _gather(self.flat, self.starts[at], lengths)
+        own = lengths[::2] + lengths[1::2]
+        return flat, np.cumsum(own) - own, own
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's begin (one more entry than texts); null is empty."""
         if len(self.known) > self.cache_parts:
             self._forget()
+        if not len(texts):
+            return np.zeros(0, np.int32), np.zeros(1, np.int64)
         texts = texts.cast(pa.large_string()).fill_null("")
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False).astype(bool)
         plain = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts) if odd.any() else texts
         lists = pc.split_pattern(pc.replace_substring_regex(plain, r"(\n+)", r" \1"), " ")
         offsets = lists.offsets.to_numpy()
-        parts = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        parts = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets = offsets - offsets[0]
-        at = self._places(parts.dictionary.to_pylist())[parts.indices.to_numpy(zero_copy_only=False)]
-        if len(texts):
-            first = offsets[:-1]
-            at[first] = self._places([_FIRST + p for p in parts.take(pa.array(first)).to_pylist()])
-        lengths = self.lengths[at]
-        ends = np.cumsum(lengths)
-        ids = self.flat[np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
-        begins = np.concatenate([[0], ends])[offsets]
+        # The first part of a text has no space before it.
+        coded = parts.dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        first = pc.binary_join_element_wise(pa.scalar(_BARE, pa.large_string()), parts.take(pa.array(offsets[:-1])), pa.scalar("", pa.large_string())).dictionary_encode()
+        code[offsets[:-1]] = len(coded.dictionary) + first.indices.to_numpy(zero_copy_only=False)
+        flat, starts, lengths = self._parts(pa.concat_arrays([coded.dictionary, first.dictionary]))
+        lengths = lengths[code]
+        ids = _gather(flat, starts[code], lengths)
+        begins = np.concatenate([[0], np.cumsum(lengths)])[offsets]
         if odd.any():
             cut = [ids[a:b] for a, b in zip(begins, begins[1:])]
             for i in np.flatnonzero(odd):
                 cut[i] = np.array(self._whole([texts[i].as_py()])[0], np.int32)
             begins = np.concatenate([[0], np.cumsum([len(x) for x in cut])]).astype(np.int64)
-            ids = np.concatenate(cut) if cut else ids
+            ids = np.concatenate(cut)
         return ids, begins
 
 
+def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """flat[start : start + length] of all rows one after another."""
+    ends = np.cumsum(lengths)
+    at = np.arange(ends[-1] if len(ends) else 0)
+    at += np.repeat(starts - ends + lengths, lengths)
+    return flat[at]
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
