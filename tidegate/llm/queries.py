@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import scratch_folder
-from tidegate.llm import compression_bands, embedding_tiles, language_id, ngram_join, ordinal_quality, pattern_packing, suffix_tree, token_files, toxicity_chain
+from tidegate.llm import compression_bands, embedding_tiles, language_id, ngram_join, ordinal_quality, pattern_packing, piece_lattice, suffix_tree, token_files, toxicity_chain
 from tidegate.llm.shared import bucket_of, table
 
 # Seeds of the weakly labelled categories: a labelled toxic text with one of them has the category.
@@ -68,6 +68,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(table(spark, sf_dir, "documents"), bucket_of("doc_id", 10) != 0)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.segmentations(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), words=4, percent=85)
 
@@ -82,5 +86,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_quality_rules, op4_quality_classifier, op5_best_fit_packing, op6_lm_scoring, op8_ngram_join, op9_embedding_near_dedup, op10_token_output)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_quality_rules, op4_quality_classifier, op5_best_fit_packing, op6_lm_scoring, op7_sentencepiece, op8_ngram_join, op9_embedding_near_dedup, op10_token_output)}
 ORACLES: dict[str, str] = {}
