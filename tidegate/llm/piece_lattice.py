@@ -4,9 +4,10 @@ The lattice of a text has an edge for each piece that stands somewhere in it, an
 no piece. A forward Viterbi pass gives the best score from the start to every position; a search from the end towards
 the start, ordered by the score so far plus that exact rest (A*), then yields segmentations best first.
 
-Two neighbouring characters that stand next to each other in no piece are never joined, so a text is cut there and its
-parts are searched on their own, once for each distinct part (a bounded memory holds them). The N best of the text
-differ from the best in few parts: of those whose second-best costs least, N - 1 are enough.
+Two neighbouring characters whose bytes stand next to each other in no piece are never joined, so a text is cut there and its
+parts are searched on their own: each distinct part once for its best and second-best (a bounded memory holds them). The
+N best of the text differ from the best in few parts: the N - 1 whose second-best costs least are enough, and only
+these are searched for N.
 
 Scores are natural logarithms of piece probabilities. A vocabulary that holds ranks instead of probabilities (whole
 numbers, as BPE models do) gets probabilities proportional to 1 / (rank + 1), bytes ranking last. Sums are kept in
@@ -30,13 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from tidegate.llm.shared import chunks, crc
+from tidegate.llm.shared import as_bytes, chunks, crc
 
 N_BEST = 3
 #: Distinct parts that a Python worker remembers; above it the memory is emptied.
-CACHE_PARTS = 250_000
+CACHE_PARTS = 600_000
 _MARK = "▁"
-_TABLE = 1024
 _UNIT = 1_000_000
 
 Segmentation = tuple[int, tuple[int, ...]]
@@ -61,36 +61,36 @@ class Vocabulary:
         self.texts = {i: model.id_to_piece(i).replace(_MARK, " ") for i in own}
         self.pieces = {t: (i, round(scores[i] * _UNIT)) for i, t in self.texts.items()}
         self.bytes = {i: b for b, i in self.byte_ids.items()}
-        self.longest = max(map(len, self.pieces))
-        # joined[x, y]: some piece has character y after x; the last row and column stand for all other characters.
-        self.joined = np.zeros((_TABLE, _TABLE), bool)
-        self.joined[-1, :] = self.joined[:, -1] = True
+        # Every beginning of a piece; None where it is none itself, so that a search can stop where no piece goes on.
+        self.begun: dict[str, tuple[int, int] | None] = {t[:k]: None for t in self.pieces for k in range(1, len(t))} | self.pieces
+        # joined[x, y]: some piece has byte y after byte x, or y goes on with a character.
+        self.joined = np.zeros((256, 256), bool)
+        self.joined[:, 0x80:0xC0] = True
         for t in self.pieces:
-            for x, y in zip(t, t[1:]):
-                self.joined[min(ord(x), _TABLE - 1), min(ord(y), _TABLE - 1)] = True
-
-    def parts(self, text: str) -> list[str]:
-        """A text (with its leading space) cut where no piece can join two characters."""
-        chars = np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), _TABLE - 1)
-        edges = [0, *(np.flatnonzero(~self.joined[chars[:-1], chars[1:]]) + 1).tolist(), len(text)]
-        return [text[a:b] for a, b in zip(edges, edges[1:])]
+            raw = np.frombuffer(t.encode(), np.uint8)
+            self.joined[raw[:-1], raw[1:]] = True
 
     def n_best(self, part: str, n: int) -> list[Segmentation]:
         """(score, ids) of the best ``n`` segmentations of a part."""
-        size, pieces, longest = len(part), self.pieces, self.longest
+        size, begun = len(part), self.begun
         least = -(1 << 62)
         best = [0] + [least] * size
         into: list[list[tuple[int, int, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
         for start in range(size):
-            if best[start] == least:
+            here = best[start]
+            if here == least:
                 continue
-            here, alone = best[start], part[start] in pieces
-            for end in range(start + 1, min(size, start + longest) + 1):
-                found = pieces.get(part[start:end])
+            alone = False
+            for end in range(start + 1, size + 1):
+                found = begun.get(part[start:end], False)
                 if found:
-                    into[end].append((start, found[1], (found[0],)))
-                    if here + found[1] > best[end]:
-                        best[end] = here + found[1]
+                    alone = alone or end == start + 1
+                    piece, score = found
+                    into[end].append((start, score, (piece,)))
+                    if here + score > best[end]:
+                        best[end] = here + score
+                elif found is False:
+                    break
             if not alone:
                 raw = part[start].encode()
                 ids = tuple(self.byte_ids.get(b, self.unknown) for b in raw)
@@ -114,7 +114,7 @@ class Vocabulary:
 
 
 class Segmenter:
-    """Segments texts; one per Python worker."""
+    """Segments Arrow columns of texts; one per Python worker."""
 
     def __init__(self, path: str, n: int = N_BEST, cache_parts: int = CACHE_PARTS):
         self.vocabulary = Vocabulary(path)
@@ -123,45 +123,69 @@ class Segmenter:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.found: list[list[Segmentation]] = []
         self.arrays: list[np.ndarray] = []
         self.costs: list[int] = []  # of the second-best, or more than any
         self.scores: list[int] = []
 
     def _learn(self, part: str) -> int:
-        got = self.vocabulary.n_best(part, self.n)
-        k = self.number[part] = len(self.found)
-        self.found.append(got)
+        got = self.vocabulary.n_best(part, 2)
+        k = self.number[part] = len(self.arrays)
         self.arrays.append(np.array(got[0][1], np.int32))
         self.costs.append(got[0][0] - got[1][0] if len(got) > 1 else 1 << 60)
         self.scores.append(got[0][0])
         return k
 
-    def segment(self, text: str | None) -> list[tuple[float, np.ndarray]]:
-        """(score, ids) of the best segmentations of a whole text, best first."""
-        if not text:
-            return [(0.0, np.zeros(0, np.int32))]
+    def segment(self, texts: pa.Array) -> Iterator[list[tuple[float, np.ndarray]]]:
+        """For each whole text, (score, ids) of its best segmentations, best first."""
         if len(self.number) > self.cache_parts:
             self._forget()
-        number = self.number
-        at = [number[p] if p in number else self._learn(p) for p in self.vocabulary.parts(" " + text)]
-        score = sum(map(self.scores.__getitem__, at))
-        costs = np.fromiter(map(self.costs.__getitem__, at), np.int64, len(at))
-        few = min(self.n - 1, len(at))
-        cheap = np.argpartition(costs, few - 1)[:few] if 0 < few < len(at) else np.arange(few)
-        ways: list[tuple[int, dict[int, int]]] = [(0, {})]
-        for p in sorted(cheap.tolist()):
-            own = self.found[at[p]]
-            tried = [(c + own[0][0] - s, {**w, p: k} if k else w) for c, w in ways for k, (s, _) in enumerate(own)]
-            ways = heapq.nsmallest(self.n, tried, key=lambda x: x[0])
-        arrays = [self.arrays[k] for k in at]
-        out = []
-        for cost, way in ways:
-            chosen = list(arrays)
-            for p, k in way.items():
-                chosen[p] = np.array(self.found[at[p]][k][1], np.int32)
-            out.append(((score - cost) / _UNIT, np.concatenate(chosen)))
-        return out
+        raw = [b" " + t if t else b"" for t in as_bytes(texts)]
+        data = b"".join(raw)
+        chars = np.frombuffer(data, np.uint8)
+        ends = np.cumsum([len(t) for t in raw], dtype=np.int64)
+        if not len(chars):
+            yield from ([(0.0, np.zeros(0, np.int32))] for _ in raw)
+            return
+        cut = np.append(True, ~self.vocabulary.joined[chars[:-1], chars[1:]])
+        cut[ends[ends < len(chars)]] = True
+        edges = np.append(np.flatnonzero(cut), len(chars))
+        coded = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
+        distinct, number = coded.dictionary.to_pylist(), self.number
+        own = np.array([number[p] if p in number else self._learn(p) for p in distinct], np.int64)
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        score_of = np.array([self.scores[k] for k in own], np.int64)
+        cost_of = np.array([self.costs[k] for k in own], np.int64)
+        ids_of = [self.arrays[k] for k in own]
+        sizes = np.array([len(x) for x in ids_of], np.int64)
+        flat, starts = np.concatenate(ids_of), np.cumsum(sizes) - sizes
+        lengths = sizes[code]
+        behind = np.cumsum(lengths)
+        at = np.arange(behind[-1])
+        at += np.repeat(starts[code] - behind + lengths, lengths)
+        ids = flat[at]
+        before = behind - lengths
+        first = np.searchsorted(edges, np.append(0, ends))  # parts of each text
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            if a == b:
+                yield [(0.0, np.zeros(0, np.int32))]
+                continue
+            costs = cost_of[code[a:b]]
+            few = min(self.n - 1, b - a)
+            cheap = np.argpartition(costs, few - 1)[:few] if 0 < few < b - a else np.arange(few)
+            found = {a + p: self.vocabulary.n_best(distinct[code[a + p]], self.n) for p in sorted(cheap.tolist())}
+            ways: list[tuple[int, dict[int, int]]] = [(0, {})]
+            for p, best in found.items():
+                tried = [(c + best[0][0] - s, {**w, p: k} if k else w) for c, w in ways for k, (s, _) in enumerate(best)]
+                ways = heapq.nsmallest(self.n, tried, key=lambda x: x[0])
+            score, low, high = int(score_of[code[a:b]].sum()), int(before[a]), int(behind[b - 1])
+            out = []
+            for cost, way in ways:
+                pieces, done = [], low
+                for p, k in way.items():  # in the order of the text
+                    pieces += [ids[done : before[p]], np.array(found[p][k][1], np.int32)]
+                    done = int(behind[p])
+                out.append(((score - cost) / _UNIT, np.concatenate([*pieces, ids[done:high]])))
+            yield out
 
 
 _SEGMENTERS: dict[tuple[str, int], Segmenter] = {}
@@ -184,11 +208,11 @@ def segmentations(docs: DataFrame, n: int = N_BEST, model: str | None = None, wi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(path, n)
-        for batch in chunks(batches, most=1 << 20):
+        for batch in chunks(batches):
             rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for rank, (score, ids) in enumerate(own.segment(text), 1):
-                    rows.append((doc, rank, score, len(ids), crc(ids), ids))
+            for doc, best in zip(batch.column("doc_id").to_pylist(), own.segment(batch.column("text"))):
+                for rank, (score, ids) in enumerate(best, 1):
+                    rows.append((doc, rank, score, len(ids), crc(ids), ids if with_ids else None))
             columns = list(zip(*rows)) or [()] * 6
             kinds = (pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
