@@ -62,6 +62,8 @@ class Encoder:
     def _ids(self, key: str) -> list[int]:
         text = key if key[:1] == "\n" else key[1:] if key[:1] == _BARE else " " + key
         bare = text[1:] if text[:1] == " " else text
+        if bare.isascii() and bare.isalpha():
+            return [x.id for x in self.model.tokenize(self.letters[32] + bare if len(bare) < len(text) else bare)]
         if bare.isalpha() and max(bare) < "ɐ":
             return [x.id for x in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
         return self._whole([text])[0]
