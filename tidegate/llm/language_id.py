@@ -43,7 +43,7 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    training_rows: int = 4000
+    training_rows: int = 2400
     bits: int = 12
     orders: tuple[int, ...] = (1, 2, 3)
     cost: float = 1.0
@@ -118,9 +118,11 @@ def vectors_of(rows: DataFrame, label: str, kind: str, bits: int, orders: tuple[
     """Vectors and labels of sampled rows (text lower-cased or not, as it stands), in the order of doc_id, on the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            got = hashed.vectors(as_bytes(batch.column("text")), bits, orders)
-            yield pa.record_batch([batch.column("doc_id"), batch.column("label"), pa.array([v.tobytes() for v in got], pa.binary())], names=["doc_id", "label", "v"])
+        for chunk in chunks(batches):
+            for i in range(0, chunk.num_rows, 256):
+                batch = chunk.slice(i, 256)
+                got = hashed.vectors(as_bytes(batch.column("text")), bits, orders)
+                yield pa.record_batch([batch.column("doc_id"), batch.column("label"), pa.array([v.tobytes() for v in got], pa.binary())], names=["doc_id", "label", "v"])
 
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"), "text")
     got = sorted(rows.mapInArrow(run, f"doc_id long, label {kind}, v binary").collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], str(r["label"])))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidegate import scratch_folder
 
 #: Bytes of text that a task works on at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Parts that a Python worker remembers; above it the memory is emptied.
-CACHE_PARTS = 600_000
+CACHE_PARTS = 400_000
 END = 0
 
 # White space besides the plain space and the line feed, or a space in a row with either.

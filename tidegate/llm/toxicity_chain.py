@@ -33,13 +33,13 @@ _FOLD = bytes.maketrans(_SEPARATORS + bytes(range(65, 91)), b" " * len(_SEPARATO
 
 @dataclass(frozen=True)
 class Settings:
-    training_rows: int = 12_000
-    vocabulary: int = 512
+    training_rows: int = 8_000
+    vocabulary: int = 256
     least_rows: int = 8
     least_ratio: float = 25.0
     folds: int = 5
     penalty: float = 1e-5
-    rounds: int = 25
+    rounds: int = 15
     limit: float = 0.3
 
 
