@@ -56,6 +56,7 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = CH
             total += len(value)
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def crc(ids: np.ndarray) -> int:
