@@ -125,9 +125,11 @@ def vectors_of(rows: DataFrame, label: str, kind: str, bits: int, orders: tuple[
                 yield pa.record_batch([batch.column("doc_id"), batch.column("label"), pa.array([v.tobytes() for v in got], pa.binary())], names=["doc_id", "label", "v"])
 
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"), "text")
-    got = sorted(rows.mapInArrow(run, f"doc_id long, label {kind}, v binary").collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], str(r["label"])))
-    x = np.array([np.frombuffer(r["v"], np.float32) for r in got], np.float32).reshape(len(got), 1 << bits)
-    return x, [r["label"] for r in got]
+    got = rows.mapInArrow(run, f"doc_id long, label {kind}, v binary").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    x = np.empty((got.num_rows, 1 << bits), np.float32)
+    for i, v in enumerate(got.column("v")):
+        x[i] = np.frombuffer(v.as_buffer(), np.float32)
+    return x, got.column("label").to_pylist()
 
 
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
@@ -143,7 +145,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     listed = sorted(families.items())
     scale = 1.0 / np.maximum(x.std(axis=0), 1e-3 / (1 << settings.bits)) if len(x) else np.ones(1 << settings.bits)
     centre = x.mean(axis=0) if len(x) else np.zeros(1 << settings.bits)
-    z = ((x - centre) * scale / np.sqrt(1 << settings.bits)).astype(np.float32)
+    z = ((x - centre) * scale / np.float32(np.sqrt(1 << settings.bits))).astype(np.float32)
     y = np.array(y)
     machines, pairs = [], []
     if len(listed) > 1:

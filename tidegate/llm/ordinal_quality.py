@@ -28,7 +28,7 @@ from tidegate.llm.shared import as_bytes, chunks
 
 @dataclass(frozen=True)
 class Settings:
-    training_rows: int = 3000
+    training_rows: int = 2000
     bits: int = 12
     orders: tuple[int, ...] = (1, 2, 3)
     penalty: float = 2e-5
@@ -85,7 +85,7 @@ def train(rated: DataFrame, settings: Settings = Settings()) -> Model:
     grades = sorted(set(y))
     if len(grades) < 2:
         return Model(settings, grades, np.zeros(1 << settings.bits), np.zeros(0))
-    scale = 1.0 / np.maximum(x.std(axis=0), 1e-3 / (1 << settings.bits)) / np.sqrt(1 << settings.bits)
+    scale = 1.0 / np.maximum(x.std(axis=0), 1e-3 / (1 << settings.bits)) / np.float32(np.sqrt(1 << settings.bits))
     centre = x.mean(axis=0)
     rank = np.searchsorted(grades, y)
     w, t = fit(((x - centre) * scale).astype(np.float32), rank, len(grades), settings.penalty, settings.rounds, settings.rate)

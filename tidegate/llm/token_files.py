@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.shared import chunks, crc
+from tidegate.llm.shared import CHUNK_BYTES, chunks, crc
 from tidegate.llm.tokens import END, encoder, vocabulary
 
 TOKENS = "doc_id long, part int, local_start long, n_tokens int, ids array<int>"
@@ -33,7 +33,7 @@ PAGE_ROWS = 2000
 def _encode_sorted(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=2 * CHUNK_BYTES):
             ids, begins = encoder(path).encode(batch.column("text"))
             n = batch.num_rows
             lengths = np.diff(begins) + 1
@@ -73,7 +73,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
         .option("parquet.page.size", page_bytes)
         .option("parquet.page.row.count.limit", PAGE_ROWS)
         .option("parquet.dictionary.page.size", 1 << 20)
-        .option("compression", "zstd")
+        .option("compression", "snappy")
         .parquet(f"{path}/tokens")
     )
     parts = spark.read.schema(TOKENS).parquet(f"{path}/tokens").groupBy("part").agg(

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Parts that a Python worker remembers; above it the memory is emptied.
-CACHE_PARTS = 400_000
+CACHE_PARTS = 500_000
 END = 0
 
 # White space besides the plain space and the line feed, or a space in a row with either.
@@ -125,7 +125,10 @@ class Encoder:
         texts = texts.cast(pa.large_string()).fill_null("")
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False).astype(bool)
         plain = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts) if odd.any() else texts
-        lists = pc.split_pattern(pc.replace_substring_regex(plain, r"(\n+)", r" \1"), " ")
+        plain = pc.replace_substring(plain, "\n", " \n")
+        while pc.any(pc.match_substring(plain, "\n \n")).as_py():  # a run of line feeds stays together
+            plain = pc.replace_substring(plain, "\n \n", "\n\n")
+        lists = pc.split_pattern(plain, " ")
         offsets = lists.offsets.to_numpy()
         parts = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets = offsets - offsets[0]
