@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,13 +48,12 @@ def words_of(text: bytes | None) -> list[bytes]:
 def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one piece have about ``most`` bytes at most; a longer text is a piece of its own."""
     for batch in batches:
-        sizes = np.array(batch.column(text).fill_null("").cast(pa.large_binary()).to_numpy(zero_copy_only=False), dtype=object)
         start, total = 0, 0
-        for i, value in enumerate(sizes):
-            if total and total + len(value) > most:
+        for i, size in enumerate(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()):
+            if total and total + size > most:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
-            total += len(value)
+            total += size
         if start < batch.num_rows:
             yield batch.slice(start)
     pa.default_memory_pool().release_unused()

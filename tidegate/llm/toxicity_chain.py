@@ -151,7 +151,8 @@ def train(labelled: DataFrame, categories: list[str], settings: Settings = Setti
 def training_sample(labels: DataFrame, most: int) -> DataFrame:
     """At most about ``most`` rows of a table with doc_id, by a hash of doc_id."""
     n = labels.count()
-    return labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1.0, most / max(n, 1)) * (1 << 30)))
+    # Another hash than the one that later samples within these rows use.
+    return labels.where(F.pmod(F.xxhash64(F.lit("labels"), "doc_id"), F.lit(1 << 30)) < int(min(1.0, most / max(n, 1)) * (1 << 30)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
