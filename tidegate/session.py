@@ -32,5 +32,7 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tidegate-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -136,7 +136,7 @@ def header_mismatches(spark: SparkSession, folder: str) -> DataFrame:
     for column, prefix in named.items():
         wrong = wrong | (
             F.col("value").startswith(prefix)
-            & (F.substring("value", len(prefix) + 1, 1 << 20) != F.col(column))
+            & (F.substr("value", F.lit(len(prefix) + 1)) != F.col(column))
         )
     return _decoded(_read(spark, folder)).where(wrong)
 
