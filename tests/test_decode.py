@@ -71,3 +71,12 @@ def test_messages_are_parsed_once_however_they_are_filtered(spark):
     decoded = decode_raw(messages(spark, RAW)).where(F.col("reason").isNull() & F.col("account").isNotNull())
     plan = decoded._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_wide_records_decode(spark):
+    """Maps with 100,000 entries, keys of both spellings, and a wrong value at their end."""
+    n = 100_000
+    wide = {**RAW, "ivalues": {f"key{i}": i for i in range(n)}, "units": {f"key {i}`": "u" for i in range(n)}, "fvalues": {f"f{i}": i + 0.5 for i in range(n)}}
+    bad = {**wide, "ivalues": {**wide["ivalues"], "zz": "text"}}
+    rows = decode_raw(messages(spark, wide, bad)).select("reason", F.size("ivalues").alias("n")).collect()
+    assert [r["reason"] for r in rows] == [None, "wrong_type"] and rows[0]["n"] == n

@@ -20,12 +20,13 @@ from tidegate.schemas import (
     ddl,
 )
 
-_KEY = r"(?:[A-Za-z0-9_]+|`(?:[^`]|``)*`)"
+# Repeats are possessive: they never backtrack, so the engine loops over a wide map's entries instead of recursing.
+_KEY = r"(?:[A-Za-z0-9_]++|`(?:[^`]|``)*+`)"
 
 
 def _object_of(kind: str) -> str:
     entry = f"{_KEY}: {kind}"
-    return rf"OBJECT<(?:{entry}(?:, {entry})*)?>"
+    return rf"OBJECT<(?:{entry}(?:, {entry})*+)?>"
 
 
 # How Spark names the JSON type each declared type must have been written in.
