@@ -87,4 +87,19 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_quality_rules, op4_quality_classifier, op5_best_fit_packing, op6_lm_scoring, op7_sentencepiece, op8_ngram_join, op9_embedding_near_dedup, op10_token_output)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_embedding_near_dedup": """
+WITH RECURSIVE sound AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reached AS (
+    SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a), least_of AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN least_of ON vec_id = least_of.a
+""",
+}
