@@ -28,7 +28,7 @@ from tidegate.llm.shared import as_bytes, chunks
 
 @dataclass(frozen=True)
 class Settings:
-    training_rows: int = 2000
+    training_rows: int = 4500
     bits: int = 12
     orders: tuple[int, ...] = (1, 2, 3)
     penalty: float = 2e-5
