@@ -27,14 +27,7 @@ _MINUTES = (5, 20, 60, 240, 1440)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table, in at least as many partitions as there are cores.
-
-    A file of one row group is one task, however many cores wait; only such small
-    inputs are shuffled. A large table has more splits than cores and is left alone.
-    """
-    rows = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, "event_id")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:
@@ -57,21 +50,21 @@ def _identity() -> dict[str, Column]:
     """Identity and metadata columns shared by raw and rollup records (from user and event id)."""
     e, u = F.col("event_id"), F.col("user_id")
     system_metadata = F.map_concat(
-        _map(_TEXT, checkId=F.format_string("dummy-check-id-%d", u), monitoringZone=F.lit("")),
+        _map(_TEXT, checkId=F.format_string("check-%d", u), monitoringZone=F.lit("")),
         F.when(e % 23 == 0, _map(_TEXT, tenantId=F.lit("override"))).otherwise(_empty_map(_TEXT)),
     )
     return {
         "accountType": _pick(("CORE", "ENCORE", "RCN", "UNKNOWN"), u % 4),
-        "account": F.concat(F.when(e % 7 == 0, "hybrid ").otherwise("hybrid:"), u.cast("string")),
+        "account": F.concat(F.when(e % 7 == 0, "acct ").otherwise("acct:"), u.cast("string")),
         "device": F.when(e % 11 == 0, "").otherwise((u + 1000).cast("string")),
-        "deviceLabel": F.when(e % 17 == 0, "").otherwise(F.format_string("dummy-device-label-%d", u)),
+        "deviceLabel": F.when(e % 17 == 0, "").otherwise(F.format_string("box-%d", u)),
         "deviceMetadata": F.when(e % 19 == 0, _map(_TEXT, os=F.lit("linux, x86"))).otherwise(_empty_map(_TEXT)),
         "monitoringSystem": _pick(("MAAS", "UIM", "SALUS", "SCOM", "ZENOSS"), e % 5),
         "systemMetadata": system_metadata,
         "collectionName": F.concat(F.when(e % 43 == 0, "agent ").otherwise("agent."), F.col("event_type")),
-        "collectionLabel": F.lit("dummy-collection-label"),
+        "collectionLabel": F.lit("sampled"),
         "collectionTarget": F.lit(""),
-        "collectionMetadata": _map(_TEXT, product=F.lit("osa")),
+        "collectionMetadata": _map(_TEXT, product=F.lit("demo")),
     }
 
 
@@ -232,7 +225,7 @@ def routes(rows: DataFrame) -> DataFrame:
         .select(
             "tenant_id",
             "measurement",
-            F.format_string("http://data-influxdb-%d:8086", u % 10 % 3).alias("path"),
+            F.format_string("http://store-%d:8086", u % 10 % 3).alias("path"),
             F.format_string("db_%d", u % 10).alias("database"),
             "user_id",
             F.inline(policies),

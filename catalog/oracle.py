@@ -10,12 +10,12 @@ base AS (
 ident AS (
   SELECT event_id, user_id, ts, event_type, value, k,
     ['CORE','ENCORE','RCN','UNKNOWN'][user_id % 4 + 1] AS "accountType",
-    CASE WHEN event_id % 7 = 0 THEN 'hybrid ' ELSE 'hybrid:' END || user_id AS account,
+    CASE WHEN event_id % 7 = 0 THEN 'acct ' ELSE 'acct:' END || user_id AS account,
     CASE WHEN event_id % 11 = 0 THEN '' ELSE CAST(1000 + user_id AS VARCHAR) END AS device,
-    CASE WHEN event_id % 17 = 0 THEN '' ELSE 'dummy-device-label-' || user_id END AS "deviceLabel",
+    CASE WHEN event_id % 17 = 0 THEN '' ELSE 'box-' || user_id END AS "deviceLabel",
     CASE WHEN event_id % 19 = 0 THEN 'linux, x86' END AS os,
     ['MAAS','UIM','SALUS','SCOM','ZENOSS'][event_id % 5 + 1] AS "monitoringSystem",
-    'dummy-check-id-' || user_id AS check_id,
+    'check-' || user_id AS check_id,
     CASE WHEN event_id % 23 = 0 THEN 'override' END AS tenant_override,
     CASE WHEN event_id % 43 = 0 THEN 'agent ' ELSE 'agent.' END || event_type AS "collectionName"
   FROM base
@@ -46,7 +46,7 @@ _TAG_ITEMS = [
     ("account", "account"),
     ("accountType", '"accountType"'),
     ("checkId", "'\"' || check_id || '\"'"),
-    ("collectionLabel", "'\"dummy-collection-label\"'"),
+    ("collectionLabel", "'\"sampled\"'"),
     ("collectionName", "'\"' || \"collectionName\" || '\"'"),
     ("device", "CASE WHEN device <> '' THEN '\"' || device || '\"' END"),
     ("deviceLabel", "CASE WHEN device <> '' THEN '\"' || \"deviceLabel\" || '\"' END"),
@@ -101,8 +101,8 @@ levels(rank, rollup_level, retention_policy, retention) AS (VALUES
   (3, '60m', 'rp_155d', '155d'), (4, '240m', 'rp_300d', '300d'), (5, '1440m', 'rp_1825d', '1825d')),
 routes AS (
   SELECT tenant_id, measurement, rank, rollup_level, retention_policy, retention,
-    'http://data-influxdb-' || (user_id % 10 % 3) || ':8086' AS path,
-    'data-influxdb-' || (user_id % 10 % 3) AS host, 'db_' || (user_id % 10) AS "database"
+    'http://store-' || (user_id % 10 % 3) || ':8086' AS path,
+    'store-' || (user_id % 10 % 3) AS host, 'db_' || (user_id % 10) AS "database"
   FROM keys, levels
   WHERE user_id % 13 <> 12 AND (user_id % 11 <> 10 OR rollup_level <> 'full')
 )"""
@@ -270,8 +270,8 @@ def _raw_json() -> str:
         """CASE WHEN os IS NULL THEN '{}' ELSE '{"os":"' || os || '"}' END""",
         """',"monitoringSystem":"' || "monitoringSystem" || '","systemMetadata":{"checkId":"' || check_id""",
         """'","monitoringZone":""' || CASE WHEN tenant_override IS NULL THEN '' ELSE ',"tenantId":"override"' END""",
-        """'},"collectionName":"' || "collectionName" || '","collectionLabel":"dummy-collection-label"'""",
-        """',"collectionTarget":"","collectionMetadata":{"product":"osa"},"ivalues":'""",
+        """'},"collectionName":"' || "collectionName" || '","collectionLabel":"sampled"'""",
+        """',"collectionTarget":"","collectionMetadata":{"product":"demo"},"ivalues":'""",
         """CASE WHEN has_values THEN '{"props.k":' || k || '}' ELSE '{}' END""",
         f"""',"fvalues":' || {values}""",
         """',"svalues":{},"units":{"event.value":"USD"}}'""",
@@ -304,10 +304,10 @@ def all_oracles() -> dict[str, str]:
         f"{_RAW}, checked AS (SELECT *, {_WIRE_REASON} AS why FROM raw)",
         f"""SELECT {_ORIGIN}, {_null_if_broken(
             "timestamp", "accountType", "account", "device", "deviceLabel", "monitoringSystem", "collectionName",
-            ("'dummy-collection-label'", '"collectionLabel"'), ("''", '"collectionTarget"'),
+            ("'sampled'", '"collectionLabel"'), ("''", '"collectionTarget"'),
             ("coalesce('os=' || os, '')", '"deviceMetadata"'),
             ("'checkId=' || check_id || '|monitoringZone=' || CASE WHEN tenant_override IS NULL THEN '' ELSE '|tenantId=override' END", '"systemMetadata"'),
-            ("'product=osa'", '"collectionMetadata"'),
+            ("'product=demo'", '"collectionMetadata"'),
             ("CASE WHEN has_values THEN 'props.k=' || k ELSE '' END", "ivalues"),
             ("CASE WHEN NOT has_values THEN '' ELSE 'event.value=' || value || CASE WHEN event_id % 29 = 0 THEN '|props_k=' || value ELSE '' END END", "fvalues"),
             ("''", "svalues"), ("'event.value=USD'", "units"),
@@ -318,7 +318,11 @@ def all_oracles() -> dict[str, str]:
         f"""SELECT {_ORIGIN}, {_null_if_broken(
             ("CASE WHEN NOT bare THEN 'rollup-' || event_id END", '"key"'),
             ("CASE WHEN bare THEN 0 ELSE start_s END", "start_s"), ("end_s", "end_s"),
-            "account", "collectionName",
+            "accountType", "account", "device", "deviceLabel", "monitoringSystem", "collectionName",
+            ("'sampled'", '"collectionLabel"'), ("''", '"collectionTarget"'),
+            ("coalesce('os=' || os, '')", '"deviceMetadata"'),
+            ("'checkId=' || check_id || '|monitoringZone=' || CASE WHEN tenant_override IS NULL THEN '' ELSE '|tenantId=override' END", '"systemMetadata"'),
+            ("'product=demo'", '"collectionMetadata"'), ("'props.k'", "ivalues_keys"), ("'event.value'", "fvalues_keys"),
             ("concat_ws('|', 'event.value=' || value_unit, 'props.k=count')", "units"),
             "k_min", "k_max", "k_mean", ("CAST(v_min AS DOUBLE)", "v_min"),
             ("CAST(v_max AS DOUBLE)", "v_max"), ("CAST(v_mean AS DOUBLE)", "v_mean"),
@@ -332,7 +336,7 @@ def all_oracles() -> dict[str, str]:
     )
     o["write_backup"] = _select(
         _ROUTED,
-        """SELECT host, "database", retention_policy, "day", count(*) AS lines, CAST(3 AS BIGINT) AS header_lines
+        """SELECT host, "database", retention_policy, "day", count(*) AS lines, CAST(0 AS BIGINT) AS bare_files
         FROM routed GROUP BY ALL""",
     )
     o["read_backup"] = _select(
@@ -406,8 +410,8 @@ stats AS (SELECT {_PAYLOAD}, count(*) AS n, CAST(sum(strlen(line)) + count(*) -
     dims = f"""SELECT {_ORIGIN}, "accountType", account, device, "deviceLabel", coalesce('os=' || os, '') AS "deviceMetadata",
         "monitoringSystem", 'checkId=' || check_id || '|monitoringZone='
           || CASE WHEN tenant_override IS NULL THEN '' ELSE '|tenantId=override' END AS "systemMetadata",
-        "collectionName", 'dummy-collection-label' AS "collectionLabel", '' AS "collectionTarget",
-        'product=osa' AS "collectionMetadata" FROM """
+        "collectionName", 'sampled' AS "collectionLabel", '' AS "collectionTarget",
+        'product=demo' AS "collectionMetadata" FROM """
     o["dimensions_raw"] = _select(_RAW, dims + "raw")
     o["dimensions_rollup"] = _select(_ROLLUP, dims + "rollups")
     o["java_trim"] = r"""SELECT doc_id,
@@ -495,10 +499,9 @@ stats AS (SELECT {_PAYLOAD}, count(*) AS n, CAST(sum(strlen(line)) + count(*) -
     )
     o["unrouted_level"] = _select(
         _ROUTED,
-        f"""SELECT {_ORIGIN}, level, tenant_id, measurement FROM good g
-        WHERE EXISTS (SELECT 1 FROM routes r WHERE r.tenant_id = g.tenant_id AND r.measurement = g.measurement)
-        AND NOT EXISTS (SELECT 1 FROM routes r WHERE r.tenant_id = g.tenant_id AND r.measurement = g.measurement
-          AND r.rollup_level = 'full')""",
+        f"""SELECT {_ORIGIN}, level, tenant_id, measurement FROM good
+        SEMI JOIN routes USING (tenant_id, measurement)
+        ANTI JOIN (SELECT tenant_id, measurement FROM routes WHERE rollup_level = 'full') f USING (tenant_id, measurement)""",
     )
     o["route_not_found"] = _select(
         _ROUTED,
@@ -605,17 +608,26 @@ seen AS (SELECT r.* FROM routes r WHERE EXISTS (SELECT 1 FROM stored s
     )
     o["backup_rotation"] = _select(
         _STREAM,
-        """SELECT host, "database", retention_policy, "day", count(*) AS lines, CAST(1 AS BIGINT) AS files
+        """SELECT host, "database", retention_policy, "day", count(*) AS lines, CAST(0 AS BIGINT) AS bare_files
         FROM stored GROUP BY ALL""",
     )
     o["batch_counter"] = _select(
         _RAW, "SELECT CAST(2 AS BIGINT) AS batches, count(*) AS records FROM raw"
     )
 
+    o["stage_timings"] = """SELECT CAST(b AS BIGINT) AS batch_id, 'raw' AS listener, stage, true AS measured
+        FROM (VALUES (0), (1)) AS batches(b), (VALUES ('check'), ('points'), ('dead_letter')) AS stages(stage)"""
+    o["backup_of_late_rows"] = _select(
+        _STREAM,
+        """SELECT host, "database", retention_policy, count(*) AS saved,
+        count(*) FILTER (WHERE ts_s >= 1706659200 - 5 * 86400) AS stored FROM stored GROUP BY ALL""",
+    )
+    o["stream_wipe_restore"] = stored
+
     # --- restore
     counts = """SELECT host, "database", retention_policy, measurement, count(*) AS points,
         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM routed {where} GROUP BY ALL"""
-    o["restore_one_target"] = _select(_ROUTED, counts.format(where="WHERE host = 'data-influxdb-1'"))
+    o["restore_one_target"] = _select(_ROUTED, counts.format(where="WHERE host = 'store-1'"))
     o["wipe_and_restore"] = _select(_ROUTED, counts.format(where=""))
     o["restored_points_of_all"] = _select(
         _ROUTED,

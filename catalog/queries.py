@@ -23,7 +23,7 @@ from tidegate.operators.points import (
 )
 from tidegate.plans.ingest import raw_pipeline
 from tidegate.plans.restore import restore_target, restored_points, wipe_then_restore
-from tidegate.schemas import POLL_RECORDS, RAW_FIELDS
+from tidegate.schemas import DIMENSIONS, POLL_RECORDS, RAW_FIELDS
 from tidegate.sources import backup, points_table
 from tidegate.sources.wire import WireSource, read_raw_stream, read_rollup_streams, with_level
 from tidegate.streaming.ingest import (
@@ -37,7 +37,7 @@ from tidegate.streaming.ingest import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-HOST = "data-influxdb-1"
+HOST = "store-1"
 ORIGIN = ("topic", "partition", "offset")
 
 _QUERIES: dict[str, Query] = {}
@@ -164,9 +164,10 @@ def decode_rollup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "key",
         F.col("start").alias("start_s"),
         F.col("end").alias("end_s"),
-        "account",
-        "collectionName",
+        *(name for name in DIMENSIONS if not name.endswith("Metadata")),
+        *(_text_of(F.col(name)).alias(name) for name in DIMENSIONS if name.endswith("Metadata")),
         _text_of(F.col("units")).alias("units"),
+        *(F.array_join(F.array_sort(F.map_keys(name)), "|").alias(f"{name}_keys") for name in ("ivalues", "fvalues")),
         *(k[part].alias(f"k_{part}") for part in ("min", "max", "mean")),
         *(v[part].alias(f"v_{part}") for part in ("min", "max", "mean")),
         "reason",
@@ -198,16 +199,24 @@ def _written_backup(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
-@query
-def write_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.option("lineSep", "\n").text(_written_backup(spark, sf_dir))
+def _backup_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines per place, and how many of its files lack the header, however many files hold it."""
+    schema = "value STRING, " + ", ".join(f"{name} STRING" for name in backup.PLACE)
+    rows = spark.read.schema(schema).option("lineSep", "\n").text(folder)
     is_header = F.col("value").startswith("#")
-    return (
-        rows.groupBy(*(F.col(name).cast("string").alias(name) for name in backup.PLACE))
-        .agg(F.count_if(~is_header).alias("lines"), F.count_if(is_header).alias("header_lines"))
+    per_file = rows.groupBy(*backup.PLACE, F.col("_metadata.file_path").alias("file")).agg(
+        F.count_if(~is_header).alias("lines"), F.count_if(is_header).alias("header_lines")
+    )
+    return per_file.groupBy(*backup.PLACE).agg(
+        F.sum("lines").alias("lines"), F.count_if(F.col("header_lines") < 3).alias("bare_files")
     )
 
 
+@query
+def write_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _backup_files(spark, _written_backup(spark, sf_dir))
+
+
 @query
 def read_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backup.read_backup(spark, _written_backup(spark, sf_dir))
@@ -533,13 +542,20 @@ def provisioning_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reconcile_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A restore that came after retention ran and that lost one day of one database."""
-    written = _routed(spark, sf_dir).withColumns(
-        {"host": places.instance_host(F.col("path")), "day": times.utc_day(F.col("ts_s"))}
-    )
-    kept = ~routing.is_beyond_retention(F.col("ts_s"), F.col("retention"), fx.AS_OF)
+    """All instances restored from a backup that lost one day of one database, and retention run after."""
+    saved, folder = scratch_folder(spark, "backup"), scratch_folder(spark, "restored")
+    routed = _routed(spark, sf_dir)
+    lines = backup.backup_lines(routed)
     lost = (F.col("database") == "db_3") & (F.col("day") == "20240129")
-    return reconcile.reconcile_restore(written, written.where(kept & ~lost), fx.AS_OF)
+    backup.write_backup(lines.where(~lost), saved)
+    restore_target(spark, saved, None, folder)
+    # Policies are named for how long they keep points.
+    duration = F.regexp_replace("retention_policy", "^rp_", "")
+    restored = points_table.read_points(spark, folder).where(
+        ~routing.is_beyond_retention(F.col("ts_s"), duration, fx.AS_OF)
+    )
+    written = routed.withColumn("host", places.instance_host(F.col("path")))
+    return reconcile.reconcile_restore(written, restored, fx.AS_OF)
 
 
 # --- payloads and counts ---------------------------------------------------
@@ -569,7 +585,7 @@ def ingested_data_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingestion_records_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records per batch, a batch being one poll of one partition."""
     polled = payloads.with_poll(_raw(spark, sf_dir), POLL_RECORDS)
-    return polled.groupBy("topic", "partition", "poll").agg(F.count(F.lit(1)).alias("records"))
+    return payloads.ingestion_records_count(polled, "topic", "partition", "poll")
 
 
 @query
@@ -736,16 +752,12 @@ def provisioning_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backup_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of several batches rewritten as one per place."""
+    """The files of several batches rewritten together."""
     job, base = _stream_job(spark, sf_dir, "raw", "rotation", ("backup",))
     source = _raw_source(spark, sf_dir, files=2, limit=1)
     raw_ingest_stream(spark, source, job, f"{base}/checkpoint").awaitTermination()
     backup.compact_backup(spark, job.sinks.backup, f"{base}/compacted")
-    rows = spark.read.option("lineSep", "\n").text(f"{base}/compacted")
-    is_header = F.col("value").startswith("#")
-    return rows.groupBy(*(F.col(name).cast("string").alias(name) for name in backup.PLACE)).agg(
-        F.count_if(~is_header).alias("lines"), F.countDistinct("_metadata.file_path").alias("files")
-    )
+    return _backup_files(spark, f"{base}/compacted")
 
 
 @query
@@ -763,10 +775,36 @@ def batch_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stage_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    job, base = _stream_job(spark, sf_dir, "raw", "timings", ("ops",))
-    running = raw_ingest_stream(spark, _raw_source(spark, sf_dir), job, f"{base}/checkpoint")
-    running.awaitTermination()
-    return ops.stage_timings(spark, [p for p in running.recentProgress])
+    """Stages of each batch, timed; how long they took differs from run to run."""
+    job, base = _stream_job(spark, sf_dir, "raw", "timings", ("points", "ops"))
+    source = _raw_source(spark, sf_dir, files=2, limit=1)
+    raw_ingest_stream(spark, source, job, f"{base}/checkpoint").awaitTermination()
+    timings = ops.stage_timings(spark.read.parquet(job.sinks.ops))
+    return timings.select("batch_id", "listener", "stage", (F.col("millis") >= 0).alias("measured"))
+
+
+@query
+def backup_of_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows too old to be stored are in the backup all the same."""
+    job, base = _stream_job(spark, sf_dir, "raw", "late", ("points", "backup"), as_of=fx.AS_OF)
+    raw_ingest_stream(spark, _raw_source(spark, sf_dir), job, f"{base}/checkpoint").awaitTermination()
+    place = ["host", "database", "retention_policy"]
+    saved = backup.read_backup(spark, job.sinks.backup).groupBy(*place).agg(F.count(F.lit(1)).alias("saved"))
+    stored = points_table.read_points(spark, job.sinks.points).groupBy(*place).agg(F.count(F.lit(1)).alias("stored"))
+    return saved.join(stored, place, "full_outer").select(
+        *place, *(F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in ("saved", "stored"))
+    )
+
+
+@query
+def stream_wipe_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's table, one instance of it doubled, then replaced from the stream's backup."""
+    job, base = _stream_job(spark, sf_dir, "raw", "wipe-stream", ("points", "backup"))
+    source = _raw_source(spark, sf_dir, files=2, limit=1)
+    raw_ingest_stream(spark, source, job, f"{base}/checkpoint").awaitTermination()
+    restore_target(spark, job.sinks.backup, HOST, job.sinks.points)
+    wipe_then_restore(spark, job.sinks.backup, HOST, job.sinks.points, routes=job.routes(spark))
+    return _stored_counts(spark, job.sinks.points)
 
 
 # --- restore ---------------------------------------------------------------

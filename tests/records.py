@@ -11,7 +11,7 @@ ORIGIN_DDL = "topic STRING, `partition` INT, `offset` BIGINT"
 RAW = {
     "timestamp": "2019-05-13T19:54:27Z",
     "accountType": "CORE",
-    "account": "hybrid:1667601",
+    "account": "acct:5550101",
     "device": "1234",
     "deviceLabel": "label",
     "deviceMetadata": {},
@@ -20,7 +20,7 @@ RAW = {
     "collectionName": "agent.filesystem",
     "collectionLabel": "",
     "collectionTarget": "",
-    "collectionMetadata": {"product": "osa"},
+    "collectionMetadata": {"product": "demo"},
     "ivalues": {"filesystem.free": 20},
     "fvalues": {},
     "svalues": {"note": "x"},

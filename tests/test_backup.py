@@ -18,19 +18,19 @@ def routed(spark, *rows):
     return spark.createDataFrame(full, SCHEMA)
 
 
-def one(number, path="https://influx-test1.com:8080", database="myDB1", policy="1440h"):
+def one(number, path="https://node-1.com:8080", database="myDB1", policy="1440h"):
     ts = 1557777267 + number
     return (path, database, policy, ts, f"m,tenantId=t f={number}.0 {ts}")
 
 
 def test_one_file_per_place_with_header_and_ordered_lines(spark, tmp_path):
-    second = {"path": "https://influx-test2.com:8080", "database": "myDB2"}
+    second = {"path": "https://node-2.com:8080", "database": "myDB2"}
     rows = routed(spark, *(one(i) for i in range(3)), *(one(i, **second) for i in range(3))).repartition(4)
     backup.write_backup(backup.backup_lines(rows), str(tmp_path / "b"))
     files = sorted(glob.glob(f"{tmp_path}/b/host=*/database=*/retention_policy=*/day=*/*.gz"))
     assert len(files) == 2
     for number, name in enumerate(files, 1):
-        assert f"/host=influx-test{number}.com/database=myDB{number}/retention_policy=1440h/day=20190513/" in name
+        assert f"/host=node-{number}.com/database=myDB{number}/retention_policy=1440h/day=20190513/" in name
         assert gzip.open(name, "rt").read().splitlines() == [
             "# DML",
             f"# CONTEXT-DATABASE: myDB{number}",
@@ -103,7 +103,7 @@ def test_header_of_another_database_is_found(spark, tmp_path):
     assert [r["value"] for r in wrong] == ["# CONTEXT-DATABASE: wrong"]
 
 
-@pytest.mark.parametrize("host", ["influx-test1.com", "a b%*~"])
+@pytest.mark.parametrize("host", ["node-1.com", "a b%*~"])
 def test_restore_and_wipe(spark, tmp_path, host):
     folder, source = str(tmp_path / "points"), str(tmp_path / "b")
     path = f"http://{host}:1"

@@ -23,7 +23,7 @@ def test_every_special_character_is_replaced(spark):
 
 @pytest.mark.parametrize(
     "account, tenant",
-    [("hybrid:1", "CORE-hybrid:1"), ("hybrid :1", "CORE-hybrid__1"), ("a\tb.c", "CORE-a\tb_c"), ("", "CORE-")],
+    [("acct:1", "CORE-acct:1"), ("acct :1", "CORE-acct__1"), ("a\tb.c", "CORE-a\tb_c"), ("", "CORE-")],
 )
 def test_tenant_is_cleaned_only_when_spaced(spark, account, tenant):
     assert one(spark, identity.tenant_id(F.lit("CORE"), F.lit(account))) == tenant

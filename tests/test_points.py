@@ -16,9 +16,9 @@ def rollup(spark, **change):
 
 def test_whole_raw_line(spark):
     assert point(spark)["line"] == (
-        'MAAS_agent.filesystem,account=hybrid:1667601,accountType=CORE,checkId="c1",'
+        'MAAS_agent.filesystem,account=acct:5550101,accountType=CORE,checkId="c1",'
         'collectionName="agent.filesystem",device="1234",deviceLabel="label",filesystem_free_unit=KILOBYTES,'
-        'monitoringSystem="MAAS",monitoringZone="",tenantId=CORE-hybrid:1667601 filesystem_free=20.0 1557777267'
+        'monitoringSystem="MAAS",monitoringZone="",tenantId=CORE-acct:5550101 filesystem_free=20.0 1557777267'
     )
 
 
@@ -42,8 +42,8 @@ def test_device_label_depends_on_the_device(spark):
 
 
 def test_account_tag_is_not_cleaned_and_the_tenant_is(spark):
-    tags = point(spark, account=" hybrid :1 ")["tags"]
-    assert (tags["account"], tags["tenantId"]) == ("hybrid :1", "CORE-_hybrid__1_")
+    tags = point(spark, account=" acct :1 ")["tags"]
+    assert (tags["account"], tags["tenantId"]) == ("acct :1", "CORE-_acct__1_")
 
 
 def test_collection_name_tag_is_not_cleaned_and_the_measurement_is(spark):
@@ -52,7 +52,7 @@ def test_collection_name_tag_is_not_cleaned_and_the_measurement_is(spark):
 
 
 def test_other_metadata_and_text_values_are_never_emitted(spark):
-    assert "osa" not in point(spark)["line"] and "note" not in point(spark)["line"]
+    assert "demo" not in point(spark)["line"] and "note" not in point(spark)["line"]
 
 
 def test_metadata_replaces_earlier_tags_and_yields_to_later_ones(spark):

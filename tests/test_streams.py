@@ -7,7 +7,7 @@ from tidegate.sources.wire import WireSource, read_rollup_streams
 from tidegate.streaming import ingest
 from tidegate.streaming.ingest import BatchReporter, IngestJob, Sinks, raw_ingest_stream, rollup_ingest_stream
 
-KEY = ("CORE-hybrid:1667601", "MAAS_agent.filesystem")
+KEY = ("CORE-acct:5550101", "MAAS_agent.filesystem")
 TARGET = ("http://h:1", "db")
 
 
@@ -120,5 +120,5 @@ def test_reporter_speaks_every_thousand_batches():
     said = []
     reporter = BatchReporter(said.append)
     for _ in range(2500):
-        reporter.onQueryProgress(None)
+        reporter.done()
     assert (said, reporter.batches) == ([1000, 2000], 2500)

@@ -107,6 +107,9 @@ def decode_rollup(messages: DataFrame) -> DataFrame:
     reason = F.when(F.col("value").isNull() | (F.trim("value") == "null"), "null_payload").when(
         F.col("_r").isNull() | F.col("_r._corrupt").isNotNull(), "malformed_json"
     )
+    for name in ("start", "end"):
+        bound = F.col(f"_r.{name}")
+        reason = reason.when(bound.isNotNull() & bound.try_cast("bigint").isNull(), "malformed_json")
     parsed = settle(parsed.withColumn("reason", reason), "_r", "reason")
     columns = {name: F.col(f"_r.{name}") for name in ROLLUP_FIELDS}
     for name in ("start", "end"):

@@ -44,11 +44,22 @@ def ops_metric_lines(
     )
 
 
-def stage_timings(spark: SparkSession, progress: list[dict]) -> DataFrame:
-    """Milliseconds per stage of each micro-batch, from a query's progress reports."""
-    rows = [
-        (int(p["batchId"]), int(p["numInputRows"]), stage, int(ms))
-        for p in progress
-        for stage, ms in p["durationMs"].items()
+def stage_lines(spark: SparkSession, millis: dict[str, int], listener: str, hostname: str) -> DataFrame:
+    """One line per stage of a batch; the stages are few and known to the driver alone."""
+    lines = [
+        (f"ingestion_stage,listener={listener},hostname={hostname},stage={stage} millis={value}",)
+        for stage, value in millis.items()
     ]
-    return spark.createDataFrame(rows, "batch_id BIGINT, input_rows BIGINT, stage STRING, millis BIGINT")
+    return spark.createDataFrame(lines, "line STRING")
+
+
+def stage_timings(ops: DataFrame) -> DataFrame:
+    """Milliseconds per batch and stage, from the ops lines of all batches."""
+    pattern = "^ingestion_stage,listener=([^,]*),hostname=.*,stage=([a-z_]+) millis=([0-9]+)$"
+    part = [F.regexp_extract("line", pattern, i) for i in (1, 2, 3)]
+    return ops.where(F.col("scope") == "stage").select(
+        F.col("batch_id").cast("bigint").alias("batch_id"),
+        part[0].alias("listener"),
+        part[1].alias("stage"),
+        part[2].cast("bigint").alias("millis"),
+    )

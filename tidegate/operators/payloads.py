@@ -70,8 +70,9 @@ def ingested_data_count(records: DataFrame) -> DataFrame:
     )
 
 
-def ingestion_records_count(records: DataFrame) -> DataFrame:
-    return records.agg(F.count(F.lit(1)).alias("records"))
+def ingestion_records_count(records: DataFrame, *by: str) -> DataFrame:
+    """Records in all, or per batch where columns tell the batches apart."""
+    return records.groupBy(*by).agg(F.count(F.lit(1)).alias("records"))
 
 
 def unconverted_count(points: DataFrame) -> DataFrame:

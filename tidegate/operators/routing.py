@@ -23,28 +23,38 @@ TARGET = ("path", "database", "retention_policy", "retention")
 def routes_by_key(routes: DataFrame) -> DataFrame:
     """One row per (tenant, measurement) with a map level -> target.
 
-    A map holds one entry per level, so it is as small as the list of levels.
+    A map holds one entry per level, so it is as small as the list of levels. Of routes
+    that repeat a level the least target counts.
     """
     target = F.struct(*TARGET)
-    one_per_level = routes.groupBy(*KEY, "rollup_level").agg(F.min(target).alias("target"))
-    return one_per_level.groupBy(*KEY).agg(
-        F.map_from_entries(F.collect_list(F.struct("rollup_level", "target"))).alias("targets")
+    # One shuffle: each level is an aggregate of its own.
+    per_level = routes.groupBy(*KEY).agg(
+        *(F.min(F.when(F.col("rollup_level") == level, target)).alias(f"_{level}") for level in LEVELS)
     )
+    entries = F.array(
+        *(
+            F.when(F.col(f"_{level}").isNotNull(), F.struct(F.lit(level).alias("level"), F.col(f"_{level}").alias("target")))
+            for level in LEVELS
+        )
+    )
+    return per_level.select(*KEY, F.map_from_entries(F.array_compact(entries)).alias("targets"))
 
 
 def attach_routes(points: DataFrame, routes: DataFrame, salts: int = 1) -> DataFrame:
     """Add the target of each point, or NULLs and a ``route_reason``.
 
     ``no_route``: the key is unknown. ``no_level``: it has no route for this level.
+    Rows without a key, as of messages that did not decode, match no route and are
+    spread by salts that no route has; else all of them would meet in one task.
     """
-    table = routes_by_key(routes)
-    on = list(KEY)
-    rows = points
-    if salts > 1:
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(salts)))
-        table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-        on.append("_salt")
-    joined = rows.join(table, on, "left").withColumn(
+    place = F.xxhash64("topic", "partition", "offset")
+    keyless = reduce(lambda a, b: a | b, (F.col(name).isNull() for name in KEY))
+    salt = F.when(keyless, salts + F.pmod(place, F.lit(1 << 20))).otherwise(F.pmod(place, F.lit(salts)))
+    rows = points.withColumn("_salt", salt)
+    table = routes_by_key(routes).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
+    )
+    joined = rows.join(table, [*KEY, "_salt"], "left").withColumn(
         "_target", F.try_element_at("targets", F.col("level"))
     )
     reason = F.when(F.col("targets").isNull(), "no_route").when(F.col("_target").isNull(), "no_level")
@@ -55,21 +65,23 @@ def attach_routes(points: DataFrame, routes: DataFrame, salts: int = 1) -> DataF
     )
 
 
+def _where_route(points: DataFrame, routes: DataFrame, verdict: Column) -> DataFrame:
+    return attach_routes(points, routes).where(verdict).drop("route_reason")
+
+
 def route_lookup(points: DataFrame, routes: DataFrame) -> DataFrame:
     """Points that have a route for their level, with its target."""
-    renamed = routes.withColumnRenamed("rollup_level", "level")
-    return points.join(renamed, [*KEY, "level"], "inner")
+    return _where_route(points, routes, F.col("route_reason").isNull())
 
 
 def unrouted_level(points: DataFrame, routes: DataFrame) -> DataFrame:
     """Points whose key has routes, but none for their level."""
-    levels = routes.withColumnRenamed("rollup_level", "level")
-    return points.join(levels, list(KEY), "left_semi").join(levels, [*KEY, "level"], "left_anti")
+    return _where_route(points, routes, F.col("route_reason") == "no_level")
 
 
 def route_not_found(points: DataFrame, routes: DataFrame) -> DataFrame:
     """Points whose key has no route at all."""
-    return points.join(routes, list(KEY), "left_anti")
+    return _where_route(points, routes, F.col("route_reason") == "no_route")
 
 
 def first_seen_keys(points: DataFrame, provisioned: DataFrame | None = None) -> DataFrame:

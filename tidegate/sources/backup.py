@@ -21,11 +21,18 @@ def payload_guards(line: Column, database: Column, policy: Column, path: Column)
         .when(~has_text(database), "blank_database")
         .when(~has_text(policy), "blank_retention_policy")
         .when(~has_text(instance_host(path)), "blank_host")
+        # Readers of line protocol take such a line for a comment.
+        .when(line.startswith("#"), "comment_line")
     )
 
 
+def time_required(seconds: Column) -> Column:
+    """A line is filed by the digits that end it, so a time before 1970 is none."""
+    return F.when(utc_day(seconds).isNull() | (seconds < 0), "no_timestamp")
+
+
 def backup_time_required(line: Column) -> Column:
-    return F.when(utc_day(payload_timestamp(line)).isNull(), "no_timestamp")
+    return time_required(payload_timestamp(line))
 
 
 def backup_lines(routed: DataFrame) -> DataFrame:
@@ -48,7 +55,7 @@ def backup_lines(routed: DataFrame) -> DataFrame:
         "line",
         F.coalesce(
             payload_guards(c("measurement"), c("database"), c("retention_policy"), c("path")),
-            F.when(utc_day(c("ts_s")).isNull(), "no_timestamp"),
+            time_required(c("ts_s")),
         ).alias("backup_reason"),
     )
 

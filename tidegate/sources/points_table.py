@@ -1,4 +1,4 @@
-"""The points table: Parquet by instance, database, policy and day."""
+"""The points table: Parquet by instance, database, policy, day and batch."""
 
 from __future__ import annotations
 
@@ -7,47 +7,76 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.places import instance_host
 from tidegate.functions.times import utc_day
-from tidegate.sources.layout import ROWS_PER_FILE, spread
+from tidegate.sources.layout import ROWS_PER_FILE
 
 PLACE = ("host", "database", "retention_policy", "day")
-STORED = ("level", "tenant_id", "measurement", "tags", "fields", "int_fields", "ts_s")
+STORED = {
+    "level": "STRING",
+    "tenant_id": "STRING",
+    "measurement": "STRING",
+    "tags": "MAP<STRING, STRING>",
+    "fields": "MAP<STRING, DOUBLE>",
+    "int_fields": "MAP<STRING, BIGINT>",
+    "ts_s": "BIGINT",
+}
+# The batch comes innermost, so an instance is one directory whoever wrote to it.
+PARTITIONS = (*PLACE, "batch_id")
+# Names are text also where they look like numbers.
+SCHEMA = ", ".join(
+    f"{name} {kind}"
+    for name, kind in {**STORED, **dict.fromkeys(PLACE, "STRING"), "batch_id": "BIGINT"}.items()
+)
 
 # Day of points without a time of their own.
 UNDATED = "undated"
+# Batch of points that no stream wrote.
+NO_BATCH = -1
 
 
-def stored_points(routed: DataFrame) -> DataFrame:
+def stored_points(routed: DataFrame, batch_id: int = NO_BATCH) -> DataFrame:
     """Routed points with the place they are stored in; names are URL-encoded there."""
     return routed.select(
-        *(F.col(name) for name in ("topic", "partition", "offset")),
         *STORED,
         F.url_encode(instance_host(F.col("path"))).alias("host"),
         F.url_encode("database").alias("database"),
         F.url_encode("retention_policy").alias("retention_policy"),
         F.coalesce(utc_day(F.col("ts_s")), F.lit(UNDATED)).alias("day"),
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+    )
+
+
+def laid_out(stored: DataFrame) -> DataFrame:
+    """The rows as they are written: places together, crowded ones split by Spark, series side by side."""
+    return (
+        stored.select(*STORED, *PARTITIONS)
+        .hint("rebalance", *(F.col(name) for name in PARTITIONS))
+        .sortWithinPartitions(*PARTITIONS, "measurement", "tenant_id", "ts_s")
     )
 
 
 def write_points(
-    stored: DataFrame,
-    folder: str,
-    rows_per_file: int = ROWS_PER_FILE,
-    mode: str = "append",
-    place: tuple[str, ...] = PLACE,
+    stored: DataFrame, folder: str, rows_per_file: int = ROWS_PER_FILE, mode: str = "append"
 ) -> None:
-    """Write rows of ``stored_points``; series lie together inside each file."""
-    with spread(stored, place, rows_per_file) as sliced:
-        (
-            sliced.sortWithinPartitions(*place, "slice", "measurement", "tenant_id", "ts_s")
-            .select(*(name for name in STORED if name in stored.columns), *place)
-            .write.mode(mode)
-            .partitionBy(*place)
-            .parquet(folder)
-        )
+    """Write rows of ``stored_points`` in one pass.
+
+    ``overwrite`` replaces the places and batches that the rows belong to and no others,
+    so a batch that runs again takes the place of its first run.
+    """
+    (
+        laid_out(stored)
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
+        .partitionBy(*PARTITIONS)
+        .parquet(folder)
+    )
+
+
+def read_encoded(spark: SparkSession, folder: str) -> DataFrame:
+    """The table with its names as they stand in the directories."""
+    return spark.read.schema(SCHEMA).parquet(folder)
 
 
 def read_points(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.read.option("basePath", folder).parquet(folder)
-    return rows.withColumns({name: F.url_decode(F.col(name).cast("string")) for name in PLACE[:3]}).withColumn(
-        "day", F.col("day").cast("string")
-    )
+    rows = read_encoded(spark, folder)
+    return rows.withColumns({name: F.url_decode(name) for name in PLACE[:3]})

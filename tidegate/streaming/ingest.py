@@ -1,23 +1,25 @@
 """The two ingestion streams.
 
 Each micro-batch is computed once, kept, and written to every sink before Spark
-commits its offsets. Every sink keeps one directory per batch, which a rerun of the
-same batch overwrites: a batch that failed half way, or an executor or driver that
-was lost, leaves no duplicates behind.
+commits its offsets. Every sink keeps the rows of a batch in directories of their own,
+which a rerun of the same batch overwrites: a batch that failed half way, or an
+executor or driver that was lost, leaves no duplicates behind.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.operators.ops import ingested_count_lines, payload_lines, records_count_line
+from tidegate.operators.ops import ingested_count_lines, payload_lines, records_count_line, stage_lines
 from tidegate.operators.payloads import (
     ingested_data_count,
     ingestion_records_count,
@@ -26,7 +28,7 @@ from tidegate.operators.payloads import (
 from tidegate.operators.quarantine import STRICT_RAW, STRICT_ROLLUP
 from tidegate.operators.routing import KEY, first_seen_keys, provisioning_plan
 from tidegate.plans.ingest import raw_pipeline, rollup_pipeline
-from tidegate.schemas import ORIGIN
+from tidegate.schemas import ORIGIN, POLL_RECORDS
 from tidegate.sources.backup import backup_lines, write_backup
 from tidegate.sources.layout import ROWS_PER_FILE
 from tidegate.sources.points_table import stored_points, write_points
@@ -63,6 +65,7 @@ class IngestJob:
     goes on, ``fail`` stops the batch. ``strict`` also stops at the record errors that
     stop a batch in the original instead of filing them.
     ``catalog`` gives the (databases, policies) that exist before the stream starts.
+    ``poll_records`` bounds a payload: its lines come from one run of so many offsets.
     """
 
     kind: str
@@ -75,6 +78,7 @@ class IngestJob:
     hostname: str = "localhost"
     salts: int = 1
     rows_per_file: int = ROWS_PER_FILE
+    poll_records: int = POLL_RECORDS
     catalog: Callable[[SparkSession], tuple[DataFrame, DataFrame]] | None = None
 
     def fatal_reasons(self) -> tuple[str, ...]:
@@ -93,24 +97,37 @@ def ingest_batch(messages: DataFrame, batch_id: int, job: IngestJob) -> None:
     # Dead letters need the message, sound rows do not.
     rows = rows.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    millis: dict[str, int] = {}
     try:
-        _refuse(rows, job.fatal_reasons())
+        with _timed(millis, "check"):
+            _refuse(rows, job.fatal_reasons())
         sound = rows.where(F.col("reason").isNull())
-        backup = backup_lines(sound)
+        # What is refused only when it is written has been backed up by then.
+        backup = backup_lines(rows.where(F.col("reason").isNull() | F.col("reason").isin(*PAYLOAD_REASONS)))
         if job.sinks.provisioning is not None:
-            _provision(sound, routes, batch_id, job)
+            with _timed(millis, "provision"):
+                _provision(sound, routes, batch_id, job)
         if job.sinks.backup is not None:
-            write_backup(backup, _of_batch(job.sinks.backup, batch_id), job.rows_per_file, mode="overwrite")
+            with _timed(millis, "backup"):
+                write_backup(backup, _of_batch(job.sinks.backup, batch_id), job.rows_per_file, mode="overwrite")
         if job.sinks.points is not None:
-            target = _of_batch(job.sinks.points, batch_id)
-            write_points(stored_points(sound), target, job.rows_per_file, mode="overwrite")
-        _write_dead_letters(rows, backup, batch_id, job)
+            with _timed(millis, "points"):
+                write_points(stored_points(sound, batch_id), job.sinks.points, job.rows_per_file, mode="overwrite")
+        with _timed(millis, "dead_letter"):
+            _write_dead_letters(rows, backup, batch_id, job)
         if job.sinks.ops is not None:
-            write_ops_metrics(rows, batch_id, job)
+            write_ops_metrics(rows, batch_id, job, millis)
     finally:
         rows.unpersist()
 
 
+@contextmanager
+def _timed(millis: dict[str, int], stage: str) -> Iterator[None]:
+    start = time.perf_counter()
+    yield
+    millis[stage] = round((time.perf_counter() - start) * 1000)
+
+
 def _of_batch(folder: str, batch_id: int) -> str:
     return f"{folder.rstrip('/')}/batch_id={batch_id}"
 
@@ -140,10 +157,10 @@ def _write_dead_letters(rows: DataFrame, backup: DataFrame, batch_id: int, job:
     refused.write.mode("overwrite").parquet(_of_batch(job.sinks.dead_letter, batch_id))
 
 
-def ops_rows(rows: DataFrame, kind: str, hostname: str) -> DataFrame:
+def ops_rows(rows: DataFrame, kind: str, hostname: str, poll_records: int = POLL_RECORDS) -> DataFrame:
     """Counters of one batch: per source, per payload, and of the whole batch."""
     sound = rows.where(F.col("reason").isNull())
-    stats = payload_stats(sound)
+    stats = payload_stats(sound, poll_records)
     totals = stats.agg(
         F.coalesce(F.sum("payload_records"), F.lit(0)).alias("payload_records"),
         F.coalesce(F.sum("payload_bytes"), F.lit(0)).alias("payload_bytes"),
@@ -159,8 +176,14 @@ def ops_rows(rows: DataFrame, kind: str, hostname: str) -> DataFrame:
     return scoped[0].unionByName(scoped[1]).unionByName(scoped[2])
 
 
-def write_ops_metrics(rows: DataFrame, batch_id: int, job: IngestJob) -> None:
-    lines = ops_rows(rows, job.kind, job.hostname)
+def write_ops_metrics(
+    rows: DataFrame, batch_id: int, job: IngestJob, millis: dict[str, int] | None = None
+) -> None:
+    """Write the counters of a batch and, if given, the milliseconds of its stages."""
+    lines = ops_rows(rows, job.kind, job.hostname, job.poll_records)
+    if millis:
+        timed = stage_lines(rows.sparkSession, millis, job.kind, job.hostname)
+        lines = lines.unionByName(timed.select(F.lit("stage").alias("scope"), "line"))
     lines.write.mode("overwrite").parquet(_of_batch(job.sinks.ops, batch_id))
 
 
@@ -205,15 +228,21 @@ def start_ingest(
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
+    report: Callable[[int], None] = lambda n: print(f"Processed {n} batches."),
 ) -> StreamingQuery:
     """Run ``ingest_batch`` on a stream of messages.
 
     Offsets are committed after the batch function returns, so after every write. The
-    default trigger takes what is there and stops.
+    default trigger takes what is there and stops. ``report`` hears of every
+    ``REPORT_EVERY``-th batch since the start.
     """
-    writer = messages.writeStream.foreachBatch(
-        lambda batch, batch_id: ingest_batch(batch, batch_id, job)
-    ).option("checkpointLocation", checkpoint)
+    reporter = BatchReporter(report)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        ingest_batch(batch, batch_id, job)
+        reporter.done()
+
+    writer = messages.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -243,23 +272,14 @@ def stop_on_error(query: StreamingQuery) -> str | None:
     return None
 
 
-class BatchReporter(StreamingQueryListener):
-    """Counts the batches since start and reports every ``REPORT_EVERY``."""
+class BatchReporter:
+    """Counts the batches of one stream since its start and reports every ``REPORT_EVERY``."""
 
-    def __init__(self, report: Callable[[int], None] = lambda n: print(f"Processed {n} batches.")):
+    def __init__(self, report: Callable[[int], None]):
         self.batches = 0
         self._report = report
 
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
+    def done(self) -> None:
         self.batches += 1
         if self.batches % REPORT_EVERY == 0:
             self._report(self.batches)
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        pass
