@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.plans.restore import restore_target, restored_points, wipe_then_restore
+from tidegate.schemas import ROUTES
 from tidegate.sources import backup, points_table
 
 SCHEMA = (
@@ -122,3 +123,33 @@ def test_restore_and_wipe(spark, tmp_path, host):
     for _ in range(2):
         wipe_then_restore(spark, source, host, folder)
         assert counts() == {host: 2, "other": 1}
+
+
+def test_names_like_numbers_and_levels_come_back(spark, tmp_path):
+    folder, source = str(tmp_path / "points"), str(tmp_path / "b")
+    rows = routed(spark, one(1, database="007", policy="010"), one(2, database="007", policy="020"))
+    backup.write_backup(backup.backup_lines(rows), source)
+    routes = spark.createDataFrame(
+        [("t", "m", level, one(1)[0], "007", policy, "1d") for level, policy in (("5m", "010"), ("full", "020"), ("20m", "020"))],
+        ROUTES,
+    )
+    restore_target(spark, source, "node-1.com", folder, routes=routes)
+    stored = points_table.read_points(spark, folder).orderBy("retention_policy").collect()
+    # A policy of two levels does not tell which one it was.
+    assert [(r["database"], r["retention_policy"], r["level"]) for r in stored] == [("007", "010", "5m"), ("007", "020", None)]
+
+
+def test_a_backup_without_the_instance_wipes_nothing(spark, tmp_path):
+    folder, source = str(tmp_path / "points"), str(tmp_path / "b")
+    backup.write_backup(backup.backup_lines(routed(spark, one(1))), source)
+    restore_target(spark, source, None, folder)
+    with pytest.raises(ValueError, match="nothing of 'unknown'"):
+        wipe_then_restore(spark, source, "unknown", folder)
+    assert points_table.read_points(spark, folder).count() == 1
+
+
+def test_times_before_1970_and_comments_are_refused(spark):
+    rows = routed(spark, ("http://h", "d", "p", -1, "m f=1.0 -1"), ("http://h", "d", "p", 0, "m f=1.0 0"))
+    assert [r["backup_reason"] for r in backup.backup_lines(rows).orderBy("offset").collect()] == ["no_timestamp", None]
+    refused = spark.range(1).select(backup.payload_guards(F.lit("#a_m f=1.0 1"), F.lit("d"), F.lit("p"), F.lit("http://h")))
+    assert refused.first()[0] == "comment_line"
