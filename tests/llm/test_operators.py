@@ -340,6 +340,17 @@ def test_ngram_join_of_odd_tables(odd, none):
     assert ngram_join.ngram_join(none).count() == 0
 
 
+@pytest.mark.parametrize("tile", [400_000, 60])
+def test_ngram_join_of_ids_with_several_texts(spark, tile):
+    rng = random.Random(8)
+    a, b, c = (sentence(rng, lang, 60) for lang in ("en", "de", "en"))
+    near = lambda t: t + " tail"
+    table = [(5, near(a)), (5, near(b)), (5, c), (3, near(b)), (2, b), (8, a), (9, near(c)), (1, "alone"), (1, "by itself")]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in ngram_join.ngram_join(docs, tile_ngrams=tile).collect())
+    assert got == [(1, 1), (1, 1), (2, 2), (3, 2), (5, 2), (5, 5), (5, 5), (8, 5), (9, 5)]
+
+
 def test_embedding_links_by_brute_force(spark, none):
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(6, 20))

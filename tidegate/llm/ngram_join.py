@@ -19,8 +19,9 @@ bits.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased; a document with fewer words than an n-gram has its whole
 sequence as its only one. Null and empty texts and texts without words have no n-grams and are linked with nothing:
-n_shingles 0, component_id their own id. Repeated rows each get a row. An empty table gives none; other columns are
-left out.
+n_shingles 0, component_id their own id. Repeated rows each get a row. Rows that give one id several texts each get the
+component of their own text; texts that have the same id as their smallest are in one component. An empty table gives
+none; other columns are left out.
 """
 
 from __future__ import annotations
@@ -166,20 +167,21 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, tile_ngrams:
     left = classes.join(single, "key_a", "left").where(F.coalesce("single", F.lit(0)) <= missing(F.col("n")))
     left = store(left.select(F.col("rep").alias("doc_id"), "copies"), "left")
 
-    # The same over all fragments, for those that are left. A repeated doc_id stays once for each of its classes.
+    # The same over all fragments, for those that are left. A doc_id that has several texts represents several classes,
+    # so classes are told apart by their keys here.
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(left.select("doc_id").distinct(), "doc_id", "left_semi")
-    full = ngram_sets(text, words, 1.0).where("n > 0").dropDuplicates(["key_a", "key_b"])
-    full = store(full.join(classes.select("key_a", "key_b", "rep", "copies"), ["key_a", "key_b"]).where("doc_id = rep").select("rep", "n", "copies", "grams"), "full")
-    grams = full.select("rep", F.explode("grams").alias("gram"))
-    single = grams.groupBy("gram").agg(F.min("rep").alias("rep"), F.max("rep").alias("most")).where("rep = most")
-    single = single.groupBy("rep").agg(F.count("*").alias("single"))
-    full = store(full.join(single, "rep", "left").withColumn("single", F.coalesce("single", F.lit(0))).where(F.col("single") <= missing(F.col("n"))), "rest")
+    full = ngram_sets(text, words, 1.0).where("n > 0").join(classes.select("key_a", "key_b", "rep", "copies"), ["key_a", "key_b"])
+    full = store(full.where("doc_id = rep").dropDuplicates(["key_a", "key_b"]).select("key_a", "rep", "n", "copies", "grams"), "full")
+    grams = full.select("key_a", F.explode("grams").alias("gram"))
+    single = grams.groupBy("gram").agg(F.min("key_a").alias("key_a"), F.max("key_a").alias("most")).where("key_a = most")
+    single = single.groupBy("key_a").agg(F.count("*").alias("single"))
+    full = store(full.join(single, "key_a", "left").withColumn("single", F.coalesce("single", F.lit(0))).where(F.col("single") <= missing(F.col("n"))), "rest")
 
     # Fact 2: links to the smallest document of each of the first n-grams.
-    grams = full.select("rep", F.explode("grams").alias("gram"))
+    grams = full.select("key_a", F.explode("grams").alias("gram"))
     often = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    ordered = grams.join(often, "gram").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("shared"))
-    first = ordered.join(full.select("rep", "n"), "rep")
+    ordered = grams.join(often, "gram").groupBy("key_a").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("shared"))
+    first = ordered.join(full.select("key_a", "rep", "n"), "key_a")
     lone = F.col("n") - F.size("shared")  # come first in the order and have no partner
     first = first.where(missing(F.col("n")) + 1 - lone > 0)
     first = first.select("rep", F.explode(F.slice("shared", F.lit(1), (missing(F.col("n")) + 1 - lone).cast("int"))).alias("s"))
