@@ -2,8 +2,9 @@
 
 The ratio of a text is its bytes over its compressed bytes. A band gives, up to a length in bytes, the least and the
 greatest ratio of ordinary text: below it the text is incompressible (random or encoded data), above it repetitive.
-Chunks of a fixed number of bytes (the last one, if shorter than half, is not counted) find stretches that the whole
-hides: the text is rejected when more than a share of its chunks lies outside their band.
+Chunks of a fixed number of bytes find stretches that the whole hides: the text is rejected when more than a share of
+its chunks lies outside their band. A rest shorter than a chunk is seen by the ratio of the whole alone, and texts of
+under one and a half chunks are judged by that ratio only.
 
 Null and empty texts have no words, so they fail the base rule. Results do not depend on other rows; repeated rows each
 get theirs, an empty table gives none, and other columns are left out.
