@@ -7,14 +7,18 @@ probability is that of the spelling. Contexts are up to ``depth`` preceding byte
 Counting covers the whole training corpus: tasks count (context, next byte) of full depth and Spark adds them up;
 shorter contexts are sums of longer ones. A context becomes a state of the tree
 
-* if it makes up ``least_share`` of all positions or more (so the tree has ``depth / least_share`` states at most,
-  whatever the input, and may be broadcast), and
+* if it occurs ``least_count`` times or more (fewer are enough where they make up ``least_share`` of all positions), and
 * if its next-byte distribution diverges from that of its longest proper suffix: the sum of n * ln(ratio) reaches
   ln(N) / 2 for each distinct next byte. Suffixes of states are states too.
 
 The distribution of a state is smoothed with that of its suffix: a share of T / (N + T) goes there, T being the
-number of distinct next bytes, and with it all next bytes that make up less than ``least_share`` / 8 of all positions.
-The empty context is smoothed with 1 / 256. A byte is scored in the longest state that ends before it.
+number of distinct next bytes. The empty context is smoothed with 1 / 256. A byte is scored in the longest state that
+ends before it.
+
+So the tree grows with the corpus. It stays a table: from the empty context up, each level's probabilities are joined
+to the next one's, which gives one for each distinct (context, next byte) of full depth. Those that make up
+``head_share`` of all positions or more (at most 1 / head_share, whatever the input) are broadcast and looked up in
+tasks; the others are joined. A code has eight bytes, so ``depth`` is 7 at most.
 
 Words of the unigram model that make up ``common_share`` of the tokens or more (at most 1 / common_share words) are
 looked up in tasks; the others are joined.
@@ -47,13 +51,15 @@ GATHER = 1_500_000
 class Settings:
     depth: int = 5
     least_share: float = 5e-7
+    least_count: int = 50
+    head_share: float = 5e-7
     common_share: float = 5e-7
     prior: float = 0.1
 
 
 @dataclass
 class Tree:
-    """States by level (sorted contexts) and their kept next bytes (sorted context * 256 + next)."""
+    """A small tree in memory: states by level (sorted contexts) and their next bytes (sorted context * 256 + next)."""
 
     depth: int
     start: np.ndarray
@@ -119,23 +125,37 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def context_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """(code, n): how often each byte follows each context of full depth in all texts."""
+    """(code, n, seen): how often each byte follows each context of full depth in training texts, and in all texts.
+
+    A column ``training`` says which texts are for training; without it all are.
+    """
+    docs = docs.select("text", F.coalesce(F.col("training"), F.lit(False)).alias("training") if "training" in docs.columns else F.lit(True).alias("training"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = lambda k, n: pa.record_batch([pa.array(k.astype(np.uint64).view(np.int64)), pa.array(n)], names=["code", "n"])
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in chunks(batches):
-            codes, _ = codes_of(as_bytes(batch.column("text")), depth)
-            number, keys = pd.factorize(codes)
-            held.append((keys, np.bincount(number, minlength=len(keys))))
-            if sum(len(k) for k, _ in held) > GATHER:
-                held = [_added(held)]
-                if len(held[0][0]) > GATHER // 2:
-                    yield out(*held.pop())
-        if held:
-            yield out(*_added(held))
+        def out(keys: np.ndarray, n: np.ndarray, own: bool) -> pa.RecordBatch:
+            n = n.astype(np.int64)
+            return pa.record_batch([pa.array(keys.astype(np.uint64).view(np.int64)), pa.array(n if own else np.zeros_like(n)), pa.array(n)], names=["code", "n", "seen"])
 
-    return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+        held: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {True: [], False: []}
+        for batch in chunks(batches):
+            codes, begins = codes_of(as_bytes(batch.column("text")), depth)
+            training = np.repeat(batch.column("training").to_numpy(zero_copy_only=False).astype(bool), np.diff(begins))
+            for own in (True, False):
+                number, keys = pd.factorize(codes[training == own])
+                if len(keys):
+                    held[own].append((keys, np.bincount(number, minlength=len(keys))))
+            if sum(len(k) for parts in held.values() for k, _ in parts) > GATHER:
+                held = {own: [_added(parts)] if parts else [] for own, parts in held.items()}
+                if sum(len(parts[0][0]) for parts in held.values() if parts) > GATHER // 2:
+                    for own, parts in held.items():
+                        if parts:
+                            yield out(*parts.pop(), own)
+        for own, parts in held.items():
+            if parts:
+                yield out(*_added(parts), own)
+
+    counted = docs.mapInArrow(run, "code long, n long, seen long")
+    return counted.groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 def word_lists(texts: pa.Array) -> pa.ListArray:
@@ -157,8 +177,63 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _low(column: str, size: int) -> Column:
+    """The last ``size`` bytes of a code."""
+    return F.col(column).bitwiseAND(F.lit((1 << (8 * size)) - 1))
+
+
+def levels_of(counts: DataFrame, depth: int) -> list[DataFrame]:
+    """levels[k]: (code, n), code being k context bytes and the next byte."""
+    levels = [counts.select("code", "n")]
+    for k in range(depth - 1, -1, -1):
+        levels.insert(0, store(levels[0].groupBy(_low("code", k + 1).alias("code")).agg(F.sum("n").alias("n")), "level"))
+    return levels
+
+
+def states_of(levels: list[DataFrame], total: int, settings: Settings) -> dict[int, DataFrame]:
+    """By context length, the states of the tree: (context, total, kinds)."""
+    context = F.shiftrightunsigned("code", 8).alias("context")
+    depth, kept = settings.depth, {}
+    levels = [x.where("n > 0") for x in levels]
+    least = min(settings.least_count, settings.least_share * total)
+    for k in range(depth, 0, -1):
+        level = levels[k].select("code", context, "n")
+        sums = level.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+        sums = sums.where(F.col("total") >= least)
+        shorter = levels[k - 1].select(F.col("code").alias("short"), F.col("n").alias("short_n"), F.shiftrightunsigned("code", 8).alias("short_context"))
+        short_sums = shorter.groupBy("short_context").agg(F.sum("short_n").alias("short_total"))
+        rows = level.join(sums, "context").withColumn("short", _low("code", k))
+        rows = rows.join(shorter, "short").join(short_sums, "short_context")
+        gain = F.col("n") * F.log((F.col("n") / F.col("total")) / (F.col("short_n") / F.col("short_total")))
+        states = rows.groupBy("context").agg(F.sum(gain).alias("gain"), F.first("total").alias("total"), F.first("kinds").alias("kinds"))
+        chosen = states.where(F.col("gain") >= F.log("total") / 2 * F.col("kinds")).select("context")
+        if k < depth:  # suffixes of longer states
+            chosen = chosen.union(kept[k + 1].select(_low("context", k).alias("context"))).distinct()
+        kept[k] = store(sums.join(chosen, "context"), "states")
+    return kept
+
+
+def code_logs(counts: DataFrame, settings: Settings) -> DataFrame:
+    """(code, seen, log): log10 of the tree's probability for each code of :func:`context_counts`, from joins alone."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    if not total:
+        return counts.select("code", "seen", F.lit(float(-np.log10(BYTES))).alias("log"))
+    levels = levels_of(counts, settings.depth)
+    states = states_of(levels, total, settings)
+    kinds = levels[0].where("n > 0").count()
+    p = levels[0].select("code", ((F.col("n") + F.lit(kinds / BYTES)) / F.lit(float(total + kinds))).alias("p"))
+    levels[-1] = counts  # with ``seen``
+    for k in range(1, settings.depth + 1):
+        rows = levels[k].withColumn("short", _low("code", k)).withColumn("context", F.shiftrightunsigned("code", 8))
+        rows = rows.join(p.select(F.col("code").alias("short"), "p"), "short").join(states[k], "context", "left")
+        mixed = (F.col("n") + F.col("kinds") * F.col("p")) / (F.col("total") + F.col("kinds"))
+        rows = rows.withColumn("p", F.coalesce(mixed, "p"))
+        p = rows.select("code", "p") if k < settings.depth else rows.select("code", "seen", F.log10("p").alias("log"))
+    return p
+
+
 def grow(counts: DataFrame, settings: Settings) -> Tree:
-    """The tree from (code, n) of full depth."""
+    """The whole tree in memory, from (code, n) of full depth: to look into small ones, scoring does not use it."""
     depth = settings.depth
     total = counts.agg(F.sum("n")).first()[0] or 0
     start = np.full(BYTES, 1.0 / BYTES)
@@ -166,44 +241,21 @@ def grow(counts: DataFrame, settings: Settings) -> Tree:
     tree = Tree(depth, start, empty(np.uint64), empty(float), empty(float), empty(np.uint64), empty(float))
     if not total:
         return tree
-    # levels[k]: (code of k context bytes and the next byte, n)
-    levels = {depth: counts}
-    for k in range(depth - 1, -1, -1):
-        levels[k] = store(levels[k + 1].groupBy(F.col("code").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)).alias("code")).agg(F.sum("n").alias("n")), "level")
+    levels = levels_of(counts, depth)
     first = np.zeros(BYTES)
     for r in levels[0].collect():
         first[r["code"]] = r["n"]
     kinds = (first > 0).sum()
     tree.start = (first + kinds / BYTES) / (total + kinds)
     context = F.shiftrightunsigned("code", 8).alias("context")
-    kept = {}
-    for k in range(depth, 0, -1):
-        level = levels[k].select("code", context, "n")
-        sums = level.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-        sums = sums.where(F.col("total") >= settings.least_share * total)
-        shorter = levels[k - 1].select(F.col("code").alias("short"), F.col("n").alias("short_n"), F.shiftrightunsigned("code", 8).alias("short_context"))
-        short_sums = shorter.groupBy("short_context").agg(F.sum("short_n").alias("short_total"))
-        rows = level.join(sums, "context").withColumn("short", F.col("code").bitwiseAND(F.lit((1 << (8 * k)) - 1)))
-        rows = rows.join(shorter, "short").join(short_sums, "short_context")
-        gain = F.col("n") * F.log((F.col("n") / F.col("total")) / (F.col("short_n") / F.col("short_total")))
-        states = rows.groupBy("context").agg(F.sum(gain).alias("gain"), F.first("total").alias("total"), F.first("kinds").alias("kinds"))
-        chosen = states.where(F.col("gain") >= F.log("total") / 2 * F.col("kinds")).select("context")
-        if k < depth:  # suffixes of longer states
-            chosen = chosen.union(kept[k + 1].select(F.col("context").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("context"))).distinct()
-        kept[k] = store(sums.join(chosen, "context"), "states")
-    for k in range(1, depth + 1):  # at most 1 / least_share states and 8 / least_share next bytes each
-        states = kept[k].toPandas().sort_values("context")
-        rows = levels[k].where(F.col("n") >= settings.least_share / 8 * total).select("code", context, "n").join(kept[k].select("context"), "context")
-        rows = rows.select("code", "n").toPandas()
+    for k, kept in sorted(states_of(levels, total, settings).items()):
+        states = kept.toPandas().sort_values("context")
+        rows = levels[k].where("n > 0").select("code", context, "n").join(kept.select("context"), "context").select("code", "n").toPandas()
         nexts, numbers = rows["code"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(float)
-        nexts, numbers = nexts[np.argsort(nexts)], numbers[np.argsort(nexts)]
-        contexts = states["context"].to_numpy(np.uint64)
-        held = np.bincount(np.searchsorted(contexts, nexts >> np.uint64(8)), numbers, len(contexts)) if len(nexts) else np.zeros(len(contexts))
-        tree.contexts[k - 1] = contexts
+        tree.nexts[k - 1], tree.counts[k - 1] = nexts[np.argsort(nexts)], numbers[np.argsort(nexts)]
+        tree.contexts[k - 1] = states["context"].to_numpy(np.uint64)
         tree.totals[k - 1] = (states["total"] + states["kinds"]).to_numpy(float)
-        tree.onward[k - 1] = tree.totals[k - 1] - held
-        tree.nexts[k - 1] = nexts
-        tree.counts[k - 1] = numbers
+        tree.onward[k - 1] = states["kinds"].to_numpy(float)
     return tree
 
 
@@ -212,7 +264,11 @@ def score(docs: DataFrame, training: Column, settings: Settings = Settings()) ->
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", training.alias("training"))
     corpus = rows.where("training")
-    tree = spark.sparkContext.broadcast(grow(store(context_counts(corpus, settings.depth), "contexts"), settings))
+    logs = store(code_logs(store(context_counts(rows, settings.depth), "contexts"), settings), "logs")
+    often = settings.head_share * (logs.agg(F.sum("seen")).first()[0] or 0)
+    frequent = logs.where(F.col("seen") >= often).select("code", "log").toPandas()  # at most 1 / head_share codes
+    order = np.argsort(frequent["code"].to_numpy(np.int64).view(np.uint64))
+    head = spark.sparkContext.broadcast((frequent["code"].to_numpy(np.int64).view(np.uint64)[order], frequent["log"].to_numpy(float)[order]))
     words = store(word_counts(corpus), "words")
     n_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = corpus.count()
@@ -228,7 +284,12 @@ def score(docs: DataFrame, training: Column, settings: Settings = Settings()) ->
         for batch in chunks(batches):
             codes, begins = codes_of(as_bytes(batch.column("text")), settings.depth)
             number, keys = pd.factorize(codes)
-            scores = np.add.reduceat(tree.value.log10(keys)[number], begins[:-1]) if batch.num_rows else np.zeros(0)
+            at, found = _find(head.value[0], keys, np.ones(len(keys), bool))
+            in_head = found[number]
+            score_of = np.where(found, head.value[1][at], 0.0) if len(head.value[1]) else np.zeros(len(keys))
+            scores = np.add.reduceat(score_of[number], begins[:-1]) if batch.num_rows else np.zeros(0)
+            code_ends = np.concatenate([[0], np.cumsum(np.add.reduceat(~in_head, begins[:-1], dtype=np.int64))]) if batch.num_rows else np.zeros(1)
+            rare_codes = pa.ListArray.from_arrays(pa.array(code_ends.astype(np.int32)), pa.array(codes[~in_head].view(np.int64)))
             lists = word_lists(batch.column("text"))
             offsets = lists.offsets.to_numpy()
             coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
@@ -246,20 +307,22 @@ def score(docs: DataFrame, training: Column, settings: Settings = Settings()) ->
             n = batch.num_rows
             yield pa.record_batch(
                 [pa.array(row + np.arange(n)), batch.column("doc_id"), batch.column("training"), pa.array(per_doc(full.astype(np.int64)) + 1),
-                 pa.array(per_doc((full & ~light).astype(np.int64))), pa.array(per_doc(logs)), pa.array(scores), pa.ListArray.from_arrays(pa.array(rare_ends), rare)],
-                names=["row", "doc_id", "training", "n_tokens", "n_common", "logs", "score", "rare"])
+                 pa.array(per_doc((full & ~light).astype(np.int64))), pa.array(per_doc(logs)), pa.array(scores), pa.ListArray.from_arrays(pa.array(rare_ends), rare), rare_codes],
+                names=["row", "doc_id", "training", "n_tokens", "n_common", "logs", "score", "rare", "codes"])
             row += n
 
-    schema = "row long, doc_id long, training boolean, n_tokens long, n_common long, logs double, score double, rare array<string>"
+    schema = "row long, doc_id long, training boolean, n_tokens long, n_common long, logs double, score double, rare array<string>, codes array<long>"
     scored = store(rows.mapInArrow(run, schema), "scored")
     rare = scored.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
     counts = words.where(F.col("n") < settings.common_share * max(n_train, 1))
     rare = rare.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(prior))).alias("rare_logs"))
+    tail = logs.where(F.col("seen") < often).select("code", "log")
+    tail = scored.select("row", F.explode("codes").alias("code")).join(tail, "code").groupBy("row").agg(F.sum("log").alias("tail"))
     nothing = F.lit(0)
     base = F.col("logs") + F.coalesce("rare_logs", nothing) + F.log10(F.lit(float(ends + prior))) - F.col("n_tokens") * F.lit(floor)
-    return scored.drop("rare").join(rare, "row", "left").select(
+    return scored.drop("rare", "codes").join(rare, "row", "left").join(tail, "row", "left").select(
         "doc_id", (~F.col("training")).alias("held_out"), "n_tokens",
         (F.col("n_common") + F.coalesce("rare_known", nothing) + (1 if ends else 0)).alias("n_known"),
-        F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+        F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("score") + F.coalesce("tail", nothing)).alias("score"))
