@@ -1,12 +1,13 @@
 """Cases in which operators once did less than the whole job."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.llm import suffix_tree
+from tidegate.llm import piece_lattice, queries, suffix_tree
 
 
 def test_states_follow_an_absolute_count_and_scores_follow_the_tree(spark):
@@ -36,3 +37,12 @@ def test_contexts_of_seven_bytes(spark):
         codes, _ = suffix_tree.codes_of([texts[i].encode()], 7)
         assert got[i] == pytest.approx(tree.log10(codes).sum())
     assert len(tree.contexts[6]) and np.all(tree.onward[6] > 0)
+
+
+def test_op7_decodes_every_document_and_rank(spark, tmp_path):
+    texts = [None, "", " two  spaces ", "some words\nand lines", "漢字 \u2581 \U0001F600", "many words come here " * 3000]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op7_sentencepiece(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in got} == set(range(len(texts))) and max(r["rank"] for r in got) == piece_lattice.N_BEST
+    for r in got:
+        assert r["exact"] and r["decoded_crc32"] == zlib.crc32((texts[r["doc_id"]] or "").encode())

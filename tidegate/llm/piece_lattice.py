@@ -22,6 +22,7 @@ columns are left out.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,6 +62,7 @@ class Vocabulary:
         self.texts = {i: model.id_to_piece(i).replace(_MARK, " ") for i in own}
         self.pieces = {t: (i, round(scores[i] * _UNIT)) for i, t in self.texts.items()}
         self.bytes = {i: b for b, i in self.byte_ids.items()}
+        self.raw = {i: t.encode() for i, t in self.texts.items()} | {i: bytes([b]) for i, b in self.bytes.items()}
         # Every beginning of a piece; None where it is none itself, so that a search can stop where no piece goes on.
         self.begun: dict[str, tuple[int, int] | None] = {t[:k]: None for t in self.pieces for k in range(1, len(t))} | self.pieces
         # joined[x, y]: some piece has byte y after byte x, or y goes on with a character.
@@ -109,7 +111,7 @@ class Vocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """The text of a segmentation."""
-        raw = b"".join(bytes([self.bytes[i]]) if i in self.bytes else self.texts.get(i, "").encode() for i in ids)
+        raw = b"".join([self.raw.get(i, b"") for i in ids])
         return raw.decode("utf-8", "replace").removeprefix(" ")
 
 
@@ -202,18 +204,24 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def segmentations(docs: DataFrame, n: int = N_BEST, model: str | None = None, with_ids: bool = True) -> DataFrame:
-    """Per document and segmentation: doc_id, rank from 1, score, n_tokens, ids_crc32, and the ids if wanted."""
+def segmentations(docs: DataFrame, n: int = N_BEST, model: str | None = None, with_ids: bool = True, with_decoded: bool = False) -> DataFrame:
+    """Per document and segmentation: doc_id, rank from 1, score, n_tokens, ids_crc32, and the ids if wanted.
+
+    ``with_decoded`` adds decoded_crc32, the crc32 of the text (UTF-8) that the ids decode to, and exact: whether that is
+    the document's text (an empty one for null).
+    """
     path = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(path, n)
         for batch in chunks(batches):
             rows = []
-            for doc, best in zip(batch.column("doc_id").to_pylist(), own.segment(batch.column("text"))):
+            texts = as_bytes(batch.column("text")) if with_decoded else [None] * batch.num_rows
+            for doc, text, best in zip(batch.column("doc_id").to_pylist(), texts, own.segment(batch.column("text"))):
                 for rank, (score, ids) in enumerate(best, 1):
-                    rows.append((doc, rank, score, len(ids), crc(ids), ids if with_ids else None))
-            columns = list(zip(*rows)) or [()] * 6
+                    back = own.vocabulary.decode(ids.tolist()).encode() if with_decoded else b""
+                    rows.append((doc, rank, score, len(ids), crc(ids), ids if with_ids else None, zlib.crc32(back), back == (text or b"")))
+            columns = list(zip(*rows)) or [()] * 8
             kinds = (pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             names = ["doc_id", "rank", "score", "n_tokens", "ids_crc32"]
@@ -222,9 +230,13 @@ def segmentations(docs: DataFrame, n: int = N_BEST, model: str | None = None, wi
                 flat = np.concatenate(columns[5]) if rows else np.zeros(0, np.int32)
                 arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())))
                 names.append("ids")
+            if with_decoded:
+                arrays += [pa.array(columns[6], pa.int64()), pa.array(columns[7], pa.bool_())]
+                names += ["decoded_crc32", "exact"]
             yield pa.record_batch(arrays, names=names)
 
     schema = "doc_id long, rank int, score double, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    schema += ", decoded_crc32 long, exact boolean" if with_decoded else ""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 

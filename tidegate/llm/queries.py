@@ -69,7 +69,7 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_lattice.segmentations(table(spark, sf_dir, "documents"), with_ids=False)
+    return piece_lattice.segmentations(table(spark, sf_dir, "documents"), with_ids=False, with_decoded=True)
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
