@@ -1,13 +1,15 @@
 """Cases in which operators once did less than the whole job."""
 
+import base64
 import random
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from tidegate.llm import piece_lattice, queries, suffix_tree
+from tidegate.llm import compression_bands, piece_lattice, queries, suffix_tree
 
 
 def test_states_follow_an_absolute_count_and_scores_follow_the_tree(spark):
@@ -46,3 +48,19 @@ def test_op7_decodes_every_document_and_rank(spark, tmp_path):
     assert {r["doc_id"] for r in got} == set(range(len(texts))) and max(r["rank"] for r in got) == piece_lattice.N_BEST
     for r in got:
         assert r["exact"] and r["decoded_crc32"] == zlib.crc32((texts[r["doc_id"]] or "").encode())
+
+
+def test_compression_bands_judge_the_rest_of_a_text():
+    rng, bands, packer = random.Random(3), compression_bands.Bands(), zstandard.ZstdCompressor(level=3)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    prose = " ".join(rng.choice(vocabulary) for _ in range(9000)).encode()
+    noise, again = base64.b64encode(rng.randbytes(9000)), b"one sentence that comes again and again. " * 300
+
+    def verdict(text):
+        return compression_bands.compression(text, packer, bands)[4]
+
+    for size in (2100, 4096, 5000, 6996, 8191, 8192, 11000, 40000):
+        assert verdict(prose[:size]) == "ok", size
+    assert verdict(prose[:4096] + noise[:2900]) == "incompressible_chunks"
+    assert verdict(prose[:4096] + again[:2900]) == "repetitive_chunks"
+    assert verdict(prose[:8192] + noise[:4000]) == "incompressible_chunks"  # below a whole chunk

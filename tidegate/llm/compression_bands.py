@@ -3,8 +3,9 @@
 The ratio of a text is its bytes over its compressed bytes. A band gives, up to a length in bytes, the least and the
 greatest ratio of ordinary text: below it the text is incompressible (random or encoded data), above it repetitive.
 Chunks of a fixed number of bytes find stretches that the whole hides: the text is rejected when more than a share of
-its chunks lies outside their band. A rest shorter than a chunk is seen by the ratio of the whole alone, and texts of
-under one and a half chunks are judged by that ratio only.
+its chunks lies outside their band. The last chunk is as long as the others and ends where the text ends, so it may
+overlap the one before and no rest goes unjudged. Texts below two chunks have smaller chunks with a band of their own;
+those no longer than such a chunk are judged by the ratio of the whole, which covers the same bytes.
 
 Null and empty texts have no words, so they fail the base rule. Results do not depend on other rows; repeated rows each
 get theirs, an empty table gives none, and other columns are left out.
@@ -43,6 +44,8 @@ class Bands:
     )
     chunk_bytes: int = 4096
     chunk: tuple[float, float] = (1.40, 5.0)
+    small_chunk_bytes: int = 2048
+    small_chunk: tuple[float, float] = (1.33, 4.0)
     bad_chunk_share: float = 0.25
     level: int = 3
 
@@ -91,11 +94,10 @@ def compression(text: bytes, packer: zstandard.ZstdCompressor, bands: Bands) ->
     size = len(text)
     whole = size / len(packer.compress(text)) if size else 0.0
     step, (least, most) = bands.chunk_bytes, bands.chunk
-    cut = [text[i : i + step] for i in range(0, size, step)]
-    if cut and len(cut[-1]) < step / 2:
-        cut.pop()
-    full = [c for c in cut if len(c) == step] if len(cut) > 1 else cut
-    ratios = [len(c) / len(packer.compress(c)) for c in full] if len(cut) > 1 else []
+    if size < 2 * step:
+        step, (least, most) = bands.small_chunk_bytes, bands.small_chunk
+    starts = [*range(0, size - step, step), size - step] if size > step else []
+    ratios = [step / len(packer.compress(text[i : i + step])) for i in starts]
     low, high = sum(r < least for r in ratios), sum(r > most for r in ratios)
     floor, ceiling = bands.limits(size)
     if whole < floor:
