@@ -18,7 +18,7 @@ from tidegate.llm.shared import bucket_of, components
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n long, rep long, label string, gram long, component long, word string"
 LONG = "many words come here and there " * 4000
 TEXTS = [None, "", " \n\t ", "one", "ONE", "a b c", "the same text of several words that two rows have in common today", "the same text of several words that two rows have in common today",
-         "the same text of several words that two rows have in common now", LONG, LONG + "end", "x" * 50_000, "é漢字 ▁ \U0001F600\x00 ok", "12345 !!! ???"]
+         "the same text of several words that two rows have in common now", LONG, LONG + "end", "x" * 50_000, "é漢字 ▁ \U0001F600\x00 ok", "12345 !!! ???", "a <|endoftext|> b"]
 
 
 def rows(texts, lang="en"):
@@ -47,7 +47,6 @@ def words(text):
 @pytest.fixture(scope="module")
 def whole():
     tokenizer = tokens.Tokenizer.from_file(tokens.vocabulary())
-    tokenizer.encode_special_tokens = True
     return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
@@ -58,6 +57,13 @@ def test_ids_by_parts_are_those_of_the_whole_text(whole):
     ids, begins = tokens.Encoder(tokens.vocabulary(), cache_parts=50).encode(pa.array(texts))
     for t, a, b in zip(texts, begins, begins[1:]):
         assert ids[a:b].tolist() == whole(t), repr(t)
+    assert whole("a <|endoftext|> b") == [64, 220, 50256, 275]
+
+    plain = tokens.Tokenizer.from_file(tokens.vocabulary())
+    plain.encode_special_tokens = True
+    ids, begins = tokens.Encoder(tokens.vocabulary(), cache_parts=50, specials=False).encode(pa.array(texts))
+    for t, a, b in zip(texts, begins, begins[1:]):
+        assert ids[a:b].tolist() == plain.encode(t or "", add_special_tokens=False).ids, repr(t)
 
 
 def crc(ids):

@@ -3,7 +3,8 @@
 The vocabulary's pattern never joins a character with white space after it. So a text is cut before each single space
 and each run of line feeds, and the parts' ids, kept in a bounded memory, are put together. A part that is one run of
 letters goes straight to the library's BPE model, all others through its whole chain. Texts with other white space, or
-with spaces in a row, are encoded in one piece. All ways give the ids of the whole text (tested against it).
+with spaces in a row, are encoded in one piece, and so are texts that hold a string of an added token where those are
+tokens (the library's default). All ways give the ids of the whole text (tested against it).
 """
 
 from __future__ import annotations
@@ -39,11 +40,12 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Encodes Arrow columns of texts; one per Python worker."""
+    """Encodes Arrow columns of texts; one per Python worker. Without ``specials``, added tokens' strings are plain text."""
 
-    def __init__(self, path: str, cache_parts: int = CACHE_PARTS):
+    def __init__(self, path: str, cache_parts: int = CACHE_PARTS, specials: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not specials
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if specials else []
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.cache_parts = cache_parts
@@ -124,6 +126,8 @@ class Encoder:
             return np.zeros(0, np.int32), np.zeros(1, np.int64)
         texts = texts.cast(pa.large_string()).fill_null("")
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False).astype(bool)
+        for added in self.added:
+            odd |= pc.match_substring(texts, added).to_numpy(zero_copy_only=False).astype(bool)
         plain = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts) if odd.any() else texts
         plain = pc.replace_substring(plain, "\n", " \n")
         while pc.any(pc.match_substring(plain, "\n \n")).as_py():  # a run of line feeds stays together
@@ -158,11 +162,11 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return flat[at]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, specials: bool = True) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, specials) not in _ENCODERS:
+        _ENCODERS[path, specials] = Encoder(path, specials=specials)
+    return _ENCODERS[path, specials]
