@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import scratch_folder
-from tidegate.llm import compression_bands, embedding_tiles, language_id, ngram_join, ordinal_quality, pattern_packing, piece_lattice, prefix_trie, suffix_tree, token_files, toxicity_chain
+from tidegate.llm import alignment, compression_bands, embedding_tiles, language_id, ngram_join, ordinal_quality, pair_index, pattern_packing, piece_lattice, prefix_trie, suffix_tree, token_files, toxicity_chain
 from tidegate.llm.shared import bucket_of, table
 
 # Seeds of the weakly labelled categories: a labelled toxic text with one of them has the category.
@@ -90,7 +90,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_quality_rules, op4_quality_classifier, op5_best_fit_packing, op6_lm_scoring, op7_sentencepiece, op8_ngram_join, op9_embedding_near_dedup, op10_token_output, op11_prefix_trie)}
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_index.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_quality_rules, op4_quality_classifier, op5_best_fit_packing, op6_lm_scoring, op7_sentencepiece, op8_ngram_join, op9_embedding_near_dedup, op10_token_output, op11_prefix_trie, op12_bpe, op13_alignment)}
 ORACLES: dict[str, str] = {
     "op9_embedding_near_dedup": """
 WITH RECURSIVE sound AS (
