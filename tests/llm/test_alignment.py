@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -13,7 +14,7 @@ from tidegate.llm import alignment
 
 DOCS = "doc_id long, text string, row long, pairs long, n long"
 TEXTS = [None, "", " ", "one", "one", "Some words, and more of them.", "<|endoftext|> <s> </s> <unk> <0x41>", "two  spaces\n\nand\ttabs", "漢字 \U0001F600\x00 ok", "▁ is the mark of a space", "ﬁ ½ é é",
-         "many words come here " * 3000, "x" * 3000, "Ütliche Größe über alles", "12345 !!! ???", "a"]
+         "many words come here " * 3000, "x" * 3000, "Ütliche Größe über alles", "12345 !!! ???", "a", "trailing ", "\nleading", " leading", "a \u2581b", "line\nends here\n", "a\n"]
 
 
 @pytest.fixture(scope="module")
@@ -110,3 +111,15 @@ def test_groups_spell_the_text(spark):
             for g in got[i]:
                 assert own.spelling_a.join(np.array(g["a"])) == own.spelling_b.join(np.array(g["b"]))
     assert sum(bool(g) for g in got.values()) > 8
+
+
+def test_parts_give_the_ids_of_whole_texts():
+    rng = random.Random(5)
+    bits = ["the", "Wort", "é", "漢", "\U0001F600", " ", " ", " ", "\n", ".", "12", "'s", "a", "b", "xyz", "\t", "  "]
+    texts = ["".join(rng.choices(bits, k=rng.randint(1, 25))) for _ in range(3000)]
+    own = alignment.Aligner(*alignment.vocabularies(), cache_parts=500)
+    for start in range(0, len(texts), 300):
+        some = texts[start : start + 300]
+        for t, found in zip(some, own.documents(pa.array(some))):
+            assert found[0].take("a", found[1]).tolist() == own.a.tokenizer.encode(" " + t, add_special_tokens=False).ids, repr(t)
+            assert found[0].take("b", found[1]).tolist() == own.b.encode(t), repr(t)

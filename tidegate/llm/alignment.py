@@ -5,6 +5,10 @@ Per document a dictionary maps the cumulative ends of A's tokens to their indice
 of their keys, sorted, slices both id lists into groups. Within a group no inner end is common, so its links (pairs of
 tokens whose bytes overlap) are expanded by walking its ends: p tokens of A and q of B have p + q - 1 links.
 
+Neither vocabulary has a token that goes on after a single space, so both have a token end before each. Texts are cut
+there, and a part's groups and links are found once while the part is in a bounded memory. Texts with other white space,
+or with spaces in a row, are one part.
+
 How often an id pair is linked in the whole corpus is counted in two steps, within chunks and by one shuffle. Documents
 then look their pairs up: counts of the most frequent pairs, ``most_head`` at most, are broadcast as arrays; all other
 pairs are joined with the table of counts. So no result depends on that number.
@@ -16,8 +20,11 @@ ids, all stay. An empty table gives no rows. Other columns are left out. A text
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -29,9 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.shared import chunks, store
-from tidegate.llm.tokens import Encoder, _byte_letters, _gather
+from tidegate.llm.tokens import _ODD, Encoder, _byte_letters, _gather
 
 MOST_HEAD = 1_000_000
+#: Parts that a Python worker remembers; above it the memory is emptied.
+CACHE_PARTS = 220_000
+#: Bytes of text that a task works on at once.
+CHUNK = 2 << 20
+#: Parts that are learned at once.
+LEARNED = 16_384
 _SPACE = "▁".encode()
 
 ALIGNED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>"
@@ -59,32 +72,109 @@ def _piece_bytes(model: sentencepiece.SentencePieceProcessor, i: int) -> bytes:
     return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.encode().replace(_SPACE, b" ")
 
 
+class _Found:
+    """Tokens, groups and links of parts, all parts' entries in a row."""
+
+    NAMES = ("a", "b", "size_a", "size_b", "pairs")
+
+    def __init__(self):
+        self.flat = {n: np.zeros(0, np.int64 if n == "pairs" else np.int32) for n in self.NAMES}
+        self.ends = {n: np.zeros(1, np.int64) for n in self.NAMES}
+        self.texts: list[bytes] = []  # groups as text, each with its semicolon
+        self.sound = np.zeros(0, bool)  # whether the tokens' bytes are the part's
+
+    def add(self, values: dict[str, np.ndarray], lengths: dict[str, np.ndarray], texts: list[bytes], sound: np.ndarray) -> None:
+        for n in self.NAMES:
+            self.flat[n] = np.append(self.flat[n], values[n].astype(self.flat[n].dtype))
+            self.ends[n] = np.append(self.ends[n], self.ends[n][-1] + np.cumsum(lengths[n]))
+        self.texts += texts
+        self.sound = np.append(self.sound, sound)
+
+    def counts(self, name: str, at: np.ndarray) -> np.ndarray:
+        return self.ends[name][at + 1] - self.ends[name][at]
+
+    def take(self, name: str, at: np.ndarray) -> np.ndarray:
+        return _gather(self.flat[name], self.ends[name][at], self.counts(name, at))
+
+
 class Aligner:
-    """Both tokenizers of a worker, with the bytes of their tokens."""
+    """Both tokenizers of a worker, with the bytes of their tokens and the parts that were seen."""
 
-    def __init__(self, path_a: str, path_b: str):
-        self.a = Encoder(path_a, specials=False)
+    def __init__(self, path_a: str, path_b: str, cache_parts: int = CACHE_PARTS):
+        self.a = Encoder(path_a, cache_parts=cache_parts // 8, specials=False)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte_of = {c: b for b, c in _byte_letters().items()}
         tokenizer = self.a.tokenizer
         names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
         self.spelling_a = _Spelling([bytes(map(byte_of.__getitem__, n)) if all(c in byte_of for c in n) else n.encode() for n in names])
-        self.spelling_b = _Spelling([_piece_bytes(self.b, i) for i in range(self.b.get_piece_size())])
-        self.decimals = _Spelling([b"%d" % i for i in range(max(len(names), self.b.get_piece_size()))])
-
-    def ids(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of both for each text; None for texts without tokens."""
+        pieces = [_piece_bytes(self.b, i) for i in range(self.b.get_piece_size())]
+        self.spelling_b = _Spelling(pieces)
+        self.space = [self.b.piece_to_id("▁")]
+        if any(b" " in p.lstrip(b" ") for p in pieces):
+            raise ValueError("texts cannot be cut at spaces: a piece goes on after one")
+        self.decimals = _Spelling([b"%d" % i for i in range(max(len(names), len(pieces)))])
+        self.cache_parts = cache_parts
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.found = _Found()
+
+    def _learn(self, parts: list[str], found: _Found) -> None:
+        """Add what is to know of parts; each stands for a space and itself."""
+        spelled = [b" " + p.encode() for p in parts]
+        a, begins = self.a.encode(pa.array([" " + p for p in parts], pa.large_string()))
+        a, n_a = a.astype(np.int64), np.diff(begins)
+        lists = [x if p else self.space for p, x in zip(parts, self.b.encode(parts, num_threads=1))]
+        n_b = np.fromiter(map(len, lists), np.int64, len(lists))
+        b = np.fromiter(chain.from_iterable(lists), np.int64, int(n_b.sum()))
+        # Parts that either side spells otherwise have no tokens.
+        sound = np.ones(len(parts), bool)
+        for own, n, spelling in ((a, n_a, self.spelling_a), (b, n_b, self.spelling_b)):
+            joined = spelling.join(own)
+            ends = np.append(0, np.cumsum(spelling.lengths[own]))[np.append(0, np.cumsum(n))].tolist()
+            sound &= [joined[x:y] == t for x, y, t in zip(ends, ends[1:], spelled)]
+        a, b = a[np.repeat(sound, n_a)], b[np.repeat(sound, n_b)]
+        n_a, n_b = np.where(sound, n_a, 0), np.where(sound, n_b, 0)
+
+        size_a, size_b, link_a, link_b = align(np.cumsum(self.spelling_a.lengths[a]), np.cumsum(self.spelling_b.lengths[b]))
+        # Each part ends with a group, so a part's groups are those up to its last token of A.
+        n_groups = np.diff(np.searchsorted(np.cumsum(size_a), np.cumsum(n_a), side="right"), prepend=0)
+        n_links = np.where(sound, n_a + n_b - n_groups, 0)
+        text, ends = groups_text(self.decimals, a, b, size_a, size_b)
+        ends = np.append(0, ends)[np.append(0, np.cumsum(n_groups))].tolist()
+        values = {"a": a, "b": b, "size_a": size_a, "size_b": size_b, "pairs": (a[link_a] << 32) + b[link_b]}
+        lengths = {"a": n_a, "b": n_b, "size_a": n_groups, "size_b": n_groups, "pairs": n_links}
+        found.add(values, lengths, [text[x:y] for x, y in zip(ends, ends[1:])], sound)
+
+    def documents(self, texts: pa.Array) -> Iterator[tuple[_Found, np.ndarray] | None]:
+        """For each text its parts' entries: where they are, and which; None for texts without tokens."""
         texts = texts.cast(pa.large_string()).fill_null("")
-        spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string()))
-        ids, begins = self.a.encode(spaced)
-        for text, start, end in zip(texts, begins, begins[1:]):
-            text = text.as_py()
-            if not text:
-                yield None
-                continue
-            a, b = ids[start:end].astype(np.int64), np.array(self.b.encode(text, num_threads=1), np.int64)
-            whole = b" " + text.encode()
-            yield (a, b) if self.spelling_a.join(a) == whole == self.spelling_b.join(b) else None
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False).astype(bool)
+        # The text begins with a space for both, so white space at its start follows one.
+        odd |= pc.match_substring_regex(texts, r"\A[ \n]").to_numpy(zero_copy_only=False).astype(bool)
+        lists = pc.split_pattern(pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts), " ")
+        offsets = lists.offsets.to_numpy()
+        coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets = offsets - offsets[0]
+        parts = coded.dictionary.to_pylist()
+        new = [p for p in parts if p not in self.known]
+        if len(self.known) + len(new) > self.cache_parts:
+            self._forget()
+            new = parts
+        for start in range(0, len(new), LEARNED):
+            self._learn(new[start : start + LEARNED], self.found)
+        if new:
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        at = at[coded.indices.to_numpy(zero_copy_only=False)]
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
+        for i in range(len(texts)):
+            found, own = self.found, at[offsets[i] : offsets[i + 1]]
+            if odd[i]:
+                found, own = _Found(), np.zeros(1, np.int64)
+                self._learn([texts[i].as_py()], found)
+            yield (found, own) if not empty[i] and found.sound[own].all() else None
 
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -112,14 +202,15 @@ def _positions(first: np.ndarray, other: np.ndarray, other_before: bool) -> np.n
     return np.arange(int(first.sum())) + np.repeat(ahead, first)
 
 
-def groups_text(decimals: _Spelling, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: decimal ids of the groups."""
+def groups_text(decimals: _Spelling, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """``a1,a2|b1;a3|b2,b3;``, the decimal ids of the groups, and where the text of each group ends."""
     ids = np.empty(len(a) + len(b), np.int64)
     marks = np.full(len(ids), ord(","), np.uint8)
     at_a, at_b = _positions(size_a, size_b, False), _positions(size_b, size_a, True)
     ids[at_a], ids[at_b] = a, b
+    last_b = at_b[np.cumsum(size_b) - 1]
     marks[at_a[np.cumsum(size_a) - 1]] = ord("|")
-    marks[at_b[np.cumsum(size_b) - 1]] = ord(";")
+    marks[last_b] = ord(";")
     lengths = decimals.lengths[ids]
     out = np.empty(int(lengths.sum()) + len(ids), np.uint8)
     ends = np.cumsum(lengths + 1) - 1
@@ -127,7 +218,7 @@ def groups_text(decimals: _Spelling, a: np.ndarray, b: np.ndarray, size_a: np.nd
     digit[ends] = False
     out[digit] = _gather(decimals.flat, decimals.starts[ids], lengths)
     out[ends] = marks
-    return out[:-1].tobytes()
+    return out.tobytes(), ends[last_b] + 1
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -146,41 +237,45 @@ def groups(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
     kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            own, found = aligner(paths), []
-            for both in own.ids(batch.column("text")):
-                if both is None:
-                    found.append([])
+        for batch in chunks(batches, most=CHUNK):
+            lists = []
+            for own in aligner(paths).documents(batch.column("text")):
+                if own is None:
+                    lists.append([])
                     continue
-                a, b = both
-                size_a, size_b, _, _ = align(np.cumsum(own.spelling_a.lengths[a]), np.cumsum(own.spelling_b.lengths[b]))
-                cut_a, cut_b = np.split(a, np.cumsum(size_a)[:-1]), np.split(b, np.cumsum(size_b)[:-1])
-                found.append([{"a": x.tolist(), "b": y.tolist()} for x, y in zip(cut_a, cut_b)])
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found, kind)], names=["doc_id", "groups"])
+                found, at = own
+                a, b = (np.split(found.take(n, at), np.cumsum(found.take(f"size_{n}", at))[:-1]) for n in "ab")
+                lists.append([{"a": x, "b": y} for x, y in zip(a, b)])
+            yield pa.record_batch([batch.column("doc_id"), pa.array(lists, kind)], names=["doc_id", "groups"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, groups array<struct<a: array<int>, b: array<int>>>")
 
 
+def _trim() -> None:
+    """Give memory that is free back to the system; a worker is one of several on its machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _aligned(paths: tuple[str, str]):
     """Rows of ALIGNED: ``pairs`` are the links as A's id times 2^32 plus B's id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
-        for batch in chunks(batches):
-            own = aligner(paths)
+        for batch in chunks(batches, most=CHUNK):
             counts, hashes, pairs = [], [], []
-            for both in own.ids(batch.column("text")):
-                if both is None:
+            for own in aligner(paths).documents(batch.column("text")):
+                if own is None:
                     counts.append((0, 0, 0, 0))
                     hashes.append("")
                     pairs.append(np.zeros(0, np.int64))
                     continue
-                a, b = both
-                size_a, size_b, link_a, link_b = align(np.cumsum(own.spelling_a.lengths[a]), np.cumsum(own.spelling_b.lengths[b]))
-                counts.append((len(a), len(b), len(size_a), len(link_a)))
-                hashes.append(hashlib.sha256(groups_text(own.decimals, a, b, size_a, size_b)).hexdigest())
-                pairs.append((a[link_a] << 32) + b[link_b])
+                found, at = own
+                counts.append([int(found.counts(n, at).sum()) for n in ("a", "b", "size_a", "pairs")])
+                hashes.append(hashlib.sha256(b"".join([found.texts[i] for i in at.tolist()])[:-1]).hexdigest())
+                pairs.append(found.take("pairs", at))
             n = batch.num_rows
             ends = np.cumsum([0, *map(len, pairs)])
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate([*pairs, np.zeros(0, np.int64)])))
@@ -188,6 +283,7 @@ def _aligned(paths: tuple[str, str]):
             yield pa.record_batch([pa.array(np.arange(row, row + n)), batch.column("doc_id"), *columns, pa.array(hashes, pa.string()), lists],
                                   names=["row", "doc_id", *_COUNTS, "groups_sha256", "pairs"])
             row += n
+            _trim()
 
     return run
 
