@@ -9,9 +9,9 @@ Neither vocabulary has a token that goes on after a single space, so both have a
 there, and a part's groups and links are found once while the part is in a bounded memory. Texts with other white space,
 or with spaces in a row, are one part.
 
-How often an id pair is linked in the whole corpus is counted in two steps, within chunks and by one shuffle. Documents
-then look their pairs up: counts of the most frequent pairs, ``most_head`` at most, are broadcast as arrays; all other
-pairs are joined with the table of counts. So no result depends on that number.
+How often an id pair is linked in the whole corpus is counted by one shuffle of partial counts. Documents then look their
+pairs up: counts of the most frequent pairs, ``most_head`` at most, are broadcast; all other pairs are joined with the
+table of counts. So no result depends on that number.
 
 Strings of special tokens are plain text. Null and empty texts, and texts whose tokens' bytes do not give the space and
 the text back (B normalizes or cannot spell them), have no tokens: zeros and no groups. Rows that repeat a doc_id, and null
@@ -288,52 +288,33 @@ def _aligned(paths: tuple[str, str]):
     return run
 
 
-def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a list column without nulls, and where each list begins (one more entry than lists)."""
-    offsets = lists.offsets.to_numpy()
-    return lists.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pair, n) of each batch."""
-    for batch in batches:
-        pair, n = np.unique(_flat(batch.column("pairs"))[0], return_counts=True)
-        yield pa.record_batch([pa.array(pair), pa.array(n)], names=["pair", "n"])
-
-
 def pair_counts(aligned: DataFrame) -> DataFrame:
     """(pair, n, best): links of each id pair in the corpus, and whether no pair with its id of B has more."""
-    n = aligned.select("pairs").mapInArrow(_counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    n = aligned.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
     n = store(n.withColumn("b", F.col("pair").bitwiseAND(0xFFFFFFFF)), "pairs")
     most = n.groupBy("b").agg(F.max("n").alias("most"))
     # One row for each id of B.
     return n.join(F.broadcast(most), "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def _looked_up(head):
-    """Per row: sums over links that are in the head, and the other distinct pairs with their number of links."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts, best = head.value
-        for batch in batches:
-            pairs, begins = _flat(batch.column("pairs"))
-            at = np.minimum(np.searchsorted(known, pairs), max(len(known) - 1, 0))
-            hit = known[at] == pairs if len(known) else np.zeros(len(pairs), bool)
-            total = np.append(0, np.cumsum(np.where(hit, counts[at], 0) if len(known) else np.zeros(len(pairs), np.int64)))
-            n_best = np.append(0, np.cumsum(hit & best[at] if len(known) else hit))
-            others, other_n, ends = [], [], [0]
-            for a, b in zip(begins, begins[1:]):
-                pair, n = np.unique(pairs[a:b][~hit[a:b]], return_counts=True)
-                others.append(pair)
-                other_n.append(n)
-                ends.append(ends[-1] + len(pair))
-            offsets = pa.array(np.array(ends, np.int32))
-            yield pa.record_batch(
-                [batch.column("row"), pa.array(np.diff(n_best[begins])), pa.array(np.diff(total[begins])),
-                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*others, np.zeros(0, np.int64)]))), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*other_n, np.zeros(0, np.int64)])))],
-                names=["row", "n_best", "count_sum", "others", "other_n"])
-
-    return run
+def link_sums(aligned: DataFrame, counts: DataFrame, most_head: int) -> DataFrame:
+    """(row, n_best, count_sum) of documents with links."""
+    # The least count that at most ``most_head`` pairs reach; one row for each of the highest counts.
+    least, held = None, 0
+    for n, pairs in counts.groupBy("n").count().orderBy(F.desc("n")).limit(most_head + 1).collect():
+        held += pairs
+        if held > most_head:
+            break
+        least = n
+    links = aligned.select("row", F.explode("pairs").alias("pair"))
+    head = F.broadcast(counts.where(F.col("n") >= least) if least is not None else counts.limit(0))
+    sums = links.join(head, "pair").groupBy("row").agg(F.count_if("best").alias("n_best"), F.sum("n").alias("count_sum"))
+    if held > most_head:
+        others = links.join(head, "pair", "left_anti").groupBy("row", "pair").agg(F.count("*").alias("links"))
+        rare = counts.where(F.col("n") < least) if least is not None else counts
+        more = others.join(rare, "pair").groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("n_best"), F.sum(F.col("links") * F.col("n")).alias("count_sum"))
+        sums = sums.unionAll(more).groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    return sums
 
 
 def alignment(docs: DataFrame, paths: tuple[str, str] | None = None, most_head: int = MOST_HEAD) -> DataFrame:
@@ -342,25 +323,5 @@ def alignment(docs: DataFrame, paths: tuple[str, str] | None = None, most_head:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     aligned = store(rows.mapInArrow(_aligned(paths or vocabularies()), ALIGNED), "aligned")
     counts = store(pair_counts(aligned), "pair-counts")
-
-    # The least count with which there are at most ``most_head`` pairs; one row for each count that occurs that often.
-    sizes = counts.groupBy("n").count().orderBy(F.desc("n")).limit(most_head + 1).collect()
-    least, held = None, 0
-    for n, pairs in sizes:
-        held += pairs
-        if held > most_head:
-            break
-        least = n
-    head = counts.where(F.col("n") >= least).toArrow().sort_by("pair") if least is not None else counts.limit(0).toArrow()
-    arrays = tuple(head.column(c).to_numpy() for c in ("pair", "n", "best"))
-    sent = docs.sparkSession.sparkContext.broadcast(arrays)
-
-    found = store(aligned.select("row", "pairs").mapInArrow(_looked_up(sent), "row long, n_best long, count_sum long, others array<long>, other_n array<long>"), "looked-up")
-    result = aligned.drop("pairs").join(found.select("row", "n_best", "count_sum"), "row")
-    if held > most_head:
-        others = found.select("row", F.explode(F.arrays_zip("others", "other_n")).alias("o")).select("row", F.col("o.others").alias("pair"), F.col("o.other_n").alias("links"))
-        rare = counts.where(F.col("n") < least) if least is not None else counts
-        sums = others.join(rare, "pair").groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("more_best"), F.sum(F.col("links") * F.col("n")).alias("more"))
-        result = result.join(sums, "row", "left").withColumns(
-            {"n_best": F.col("n_best") + F.coalesce("more_best", F.lit(0)), "count_sum": F.col("count_sum") + F.coalesce("more", F.lit(0))})
-    return result.select("doc_id", *_COUNTS, "n_best", "count_sum", "groups_sha256")
+    found = aligned.drop("pairs").join(link_sums(aligned, counts, most_head), "row", "left")
+    return found.select("doc_id", *_COUNTS, *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")), "groups_sha256")
