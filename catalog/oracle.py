@@ -579,8 +579,9 @@ counted AS (SELECT host, "database", retention_policy, measurement, count(*) AS
 
     # --- streams
     stored = _select(_STREAM, _STORED_COUNTS.format(rows="stored"))
-    for name in ("raw_ingest", "commit_after_write", "replay_failed_batch"):
+    for name in ("raw_ingest", "commit_after_write", "replay_failed_batch", "compact_points"):
         o[name] = stored
+    o["replay_after_route_change"] = f"""SELECT * REPLACE ("database" || '_moved' AS "database") FROM ({stored})"""
     o["rollup_ingest"] = _select(
         _ROLLUP_STREAM,
         """SELECT host, "database", retention_policy, level, count(*) AS points, CAST(1 AS BIGINT) AS days

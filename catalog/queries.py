@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +25,12 @@ from tidegate.operators.points import (
 from tidegate.plans.ingest import raw_pipeline
 from tidegate.plans.restore import restore_target, restored_points, wipe_then_restore
 from tidegate.schemas import DIMENSIONS, POLL_RECORDS, RAW_FIELDS
-from tidegate.sources import backup, points_table
+from tidegate.sources import backup, files, points_table
 from tidegate.sources.wire import WireSource, read_raw_stream, read_rollup_streams, with_level
 from tidegate.streaming.ingest import (
     IngestJob,
     Sinks,
+    compact_sinks,
     raw_ingest_stream,
     rollup_ingest_stream,
     stop_on_error,
@@ -201,10 +203,8 @@ def _written_backup(spark: SparkSession, sf_dir: str) -> str:
 
 def _backup_files(spark: SparkSession, folder: str) -> DataFrame:
     """Lines per place, and how many of its files lack the header, however many files hold it."""
-    schema = "value STRING, " + ", ".join(f"{name} STRING" for name in backup.PLACE)
-    rows = spark.read.schema(schema).option("lineSep", "\n").text(folder)
     is_header = F.col("value").startswith("#")
-    per_file = rows.groupBy(*backup.PLACE, F.col("_metadata.file_path").alias("file")).agg(
+    per_file = backup.read_files(spark, folder).groupBy(*backup.PLACE, "file").agg(
         F.count_if(~is_header).alias("lines"), F.count_if(is_header).alias("header_lines")
     )
     return per_file.groupBy(*backup.PLACE).agg(
@@ -752,12 +752,41 @@ def provisioning_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backup_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of several batches rewritten together."""
+    """Finished days merged in place after each of two batches; lines of other days stay where they are."""
     job, base = _stream_job(spark, sf_dir, "raw", "rotation", ("backup",))
     source = _raw_source(spark, sf_dir, files=2, limit=1)
     raw_ingest_stream(spark, source, job, f"{base}/checkpoint").awaitTermination()
-    backup.compact_backup(spark, job.sinks.backup, f"{base}/compacted")
-    return _backup_files(spark, f"{base}/compacted")
+    for batch_id, day in enumerate(("20240110", "20240120")):
+        backup.rotate_backup(spark, job.sinks.backup, batch_id, day)
+    return _backup_files(spark, job.sinks.backup)
+
+
+@query
+def compact_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of two batches, compacted, the second batch written again, and compacted again: each point once."""
+    job, base = _stream_job(spark, sf_dir, "raw", "compaction", ("points", "ops"))
+    source = _raw_source(spark, sf_dir, files=2, limit=1)
+    raw_ingest_stream(spark, source, job, f"{base}/checkpoint").awaitTermination()
+    compact_sinks(spark, job, f"{base}/checkpoint")
+    points_table.read_encoded(spark, job.sinks.points).where("batch_id = 1").write.parquet(f"{base}/again")
+    points_table.write_batch(spark.read.parquet(f"{base}/again"), job.sinks.points, 1)
+    points_table.compact_points(spark, job.sinks.points, 1)
+    return _stored_counts(spark, job.sinks.points)
+
+
+@query
+def replay_after_route_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that fails after its points were written, run again after all routes moved to another database."""
+    job, base = _stream_job(spark, sf_dir, "raw", "moved", ("points",))
+    source = _raw_source(spark, sf_dir)
+    moved = f"{base}/moved"
+    job.routes(spark).withColumn("database", F.concat("database", F.lit("_moved"))).write.parquet(moved)
+    # Dead letters are written after the points: a file in the place of their folder stops the batch there.
+    files.create_text(spark, job.sinks.dead_letter, "")
+    stop_on_error(raw_ingest_stream(spark, source, job, f"{base}/checkpoint"))
+    after = replace(job, routes=lambda s: s.read.parquet(moved), sinks=replace(job.sinks, dead_letter=f"{base}/letters"))
+    raw_ingest_stream(spark, source, after, f"{base}/checkpoint").awaitTermination()
+    return _stored_counts(spark, job.sinks.points)
 
 
 @query

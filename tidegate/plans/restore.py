@@ -12,8 +12,9 @@ from tidegate.functions.places import instance_host
 from tidegate.functions.times import utc_day
 from tidegate.session import scratch_folder
 from tidegate.sources.backup import read_backup
+from tidegate.sources.generations import leave_out_host
 from tidegate.sources.layout import ROWS_PER_FILE
-from tidegate.sources.points_table import NO_BATCH, PARTITIONS, STORED, UNDATED, laid_out, read_encoded, write_points
+from tidegate.sources.points_table import NO_BATCH, PARTITIONS, STORED, UNDATED, batch_files, laid_out, read_encoded, write_points
 
 _TARGET = ("host", "database", "retention_policy")
 
@@ -86,7 +87,8 @@ def wipe_then_restore(
     views = [f"tidegate_{uuid.uuid4().hex}" for _ in range(2)]
     table, source = views
     try:
-        read_encoded(spark, folder).createOrReplaceTempView(table)
+        leave_out_host(spark, folder, encoded)
+        batch_files(spark, folder).createOrReplaceTempView(table)
         laid_out(rows).createOrReplaceTempView(source)
         spark.sql(
             f"INSERT OVERWRITE TABLE {table} PARTITION (host = '{encoded}', {', '.join(PARTITIONS[1:])}) "

@@ -1,13 +1,16 @@
-"""Gzip line-protocol backup: guards, writing, reading back, compaction."""
+"""Gzip line-protocol backup: guards, writing, reading back, rotation."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegate.functions.places import dml_header, instance_host, payload_timestamp, utc_day
 from tidegate.functions.text import has_text
+from tidegate.sources import files, generations
 from tidegate.sources.layout import ROWS_PER_FILE, spread
 
 # Directory levels, outermost first; names are URL-encoded inside them.
@@ -106,11 +109,29 @@ def write_backup(
         )
 
 
-def _read(spark: SparkSession, folder: str) -> DataFrame:
+def _text(reader: DataFrameReader, paths: list[str], batches: bool = False) -> DataFrame:
     # The line separator is named: by default a carriage return would split lines too.
-    schema = "value STRING, " + ", ".join(f"{name} STRING" for name in PLACE)
-    rows = spark.read.schema(schema).option("lineSep", "\n").text(folder)
-    return rows.select(*PLACE, "value")
+    names = ", ".join(f"{name} STRING" for name in PLACE)
+    schema = f"value STRING, {'batch_id BIGINT, ' if batches else ''}{names}"
+    return reader.schema(schema).option("lineSep", "\n").format("text").load(paths)
+
+
+def _has_batches(spark: SparkSession, folder: str) -> bool:
+    """Whether a batch has files of its own; without any, Spark would not know the columns that directories stand for."""
+    return any(files.visible(spark, f"{folder.rstrip('/')}/{name}") for name in files.visible(spark, folder))
+
+
+def read_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines that count, headers among them, with their encoded place and their file."""
+    now = generations.current(spark, folder)
+    columns = [*PLACE, "value", F.col("_metadata.file_path").alias("file")]
+    if not now.parts:
+        return _text(spark.read, [folder]).select(*columns)
+    rows = generations.part_rows(spark, folder, now, _text).select(*columns)
+    if not _has_batches(spark, folder):
+        return rows
+    batches = _text(spark.read, [folder], batches=True)
+    return rows.unionByName(batches.where(~now.covers(F.col("batch_id"), F.col("day"))).select(*columns))
 
 
 def _decoded(rows: DataFrame) -> DataFrame:
@@ -123,7 +144,7 @@ def read_backup(spark: SparkSession, folder: str, host: str | None = None) -> Da
 
     Every header line is dropped, wherever it stands: files may have been joined.
     """
-    rows = _read(spark, folder)
+    rows = read_files(spark, folder)
     if host is not None:
         # Compared in encoded form, so whole directories are left unread.
         rows = rows.where(F.col("host") == F.url_encode(F.lit(host)))
@@ -145,21 +166,57 @@ def header_mismatches(spark: SparkSession, folder: str) -> DataFrame:
             F.col("value").startswith(prefix)
             & (F.substr("value", F.lit(len(prefix) + 1)) != F.col(column))
         )
-    return _decoded(_read(spark, folder)).where(wrong)
+    return _decoded(read_files(spark, folder).drop("file")).where(wrong)
+
+
+def _as_lines(encoded: DataFrame) -> DataFrame:
+    """Rows of backup files as rows of ``backup_lines``."""
+    lines = encoded.where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    return _decoded(lines).select(
+        *PLACE,
+        F.col("value").alias("line"),
+        # The position in the files stands for arrival. It also splits crowded
+        # places evenly where the text would not: copies of a line hash alike.
+        F.lit("").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"),
+        F.lit(None).cast("string").alias("backup_reason"),
+    )
 
 
 def compact_backup(
     spark: SparkSession, folder: str, target: str, rows_per_file: int = ROWS_PER_FILE
 ) -> None:
     """Rewrite the many small files of a stream as few large ones, into a new folder."""
-    rows = read_backup(spark, folder).withColumns(
-        {
-            # The position in the files stands for arrival. It also splits crowded
-            # places evenly where the text would not: copies of a line hash alike.
-            "topic": F.lit(""),
-            "partition": F.lit(0),
-            "offset": F.monotonically_increasing_id(),
-            "backup_reason": F.lit(None).cast("string"),
-        }
+    write_backup(_as_lines(read_files(spark, folder)), target, rows_per_file, mode="overwrite")
+
+
+def rotate_backup(
+    spark: SparkSession,
+    folder: str,
+    upto_batch: int,
+    before_day: str,
+    rows_per_file: int = ROWS_PER_FILE,
+    most_parts: int = generations.MOST_PARTS,
+) -> generations.Generation:
+    """Merge the files of finished days, those before ``before_day``, in place while a stream writes other batches.
+
+    Only batches up to ``upto_batch`` are taken, which the stream must have committed; they are final from then on. A
+    late line of a finished day, in a later batch, stays in its own file until the next rotation. Days that were
+    rotated before are not written again unless there are ``most_parts`` parts by now.
+    """
+    now = generations.clean(spark, folder)
+    new = replace(now, upto_batch=max(now.upto_batch, upto_batch), before_day=max(now.before_day or "", before_day))
+    if not _has_batches(spark, folder):
+        return now
+    batches = _text(spark.read, [folder], batches=True)
+    day, batch = F.col("day"), F.col("batch_id")
+    fresh = batches.where(new.covers(batch, day))
+    if now.parts:
+        fresh = fresh.where(~now.covers(batch, day))
+    rows, merged = fresh.select(*PLACE, "value"), len(now.parts) >= most_parts
+    if merged:
+        rows = rows.unionByName(generations.part_rows(spark, folder, now, _text).select(*PLACE, "value"))
+    return generations.advance(
+        spark, folder, now, new, lambda path: write_backup(_as_lines(rows), path, rows_per_file, mode="overwrite"), fresh.select("batch_id", *PLACE), merged
     )
-    write_backup(rows, target, rows_per_file, mode="overwrite")

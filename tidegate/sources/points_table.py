@@ -1,4 +1,4 @@
-"""The points table: Parquet by instance, database, policy, day and batch."""
+"""The points table: Parquet by instance, database, policy, day and batch, with merged parts (``generations``)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.places import instance_host
 from tidegate.functions.times import utc_day
+from tidegate.sources import generations
 from tidegate.sources.layout import ROWS_PER_FILE
+from tidegate.sources.manifest import replace_batch
 
 PLACE = ("host", "database", "retention_policy", "day")
 STORED = {
@@ -22,10 +24,9 @@ STORED = {
 # The batch comes innermost, so an instance is one directory whoever wrote to it.
 PARTITIONS = (*PLACE, "batch_id")
 # Names are text also where they look like numbers.
-SCHEMA = ", ".join(
-    f"{name} {kind}"
-    for name, kind in {**STORED, **dict.fromkeys(PLACE, "STRING"), "batch_id": "BIGINT"}.items()
-)
+SCHEMA = ", ".join(f"{name} {kind}" for name, kind in {**STORED, **dict.fromkeys(PLACE, "STRING")}.items())
+# Rows of a place that belong together lie side by side.
+ORDER = ("measurement", "tenant_id", "ts_s")
 
 # Day of points without a time of their own.
 UNDATED = "undated"
@@ -50,7 +51,7 @@ def laid_out(stored: DataFrame) -> DataFrame:
     return (
         stored.select(*STORED, *PARTITIONS)
         .hint("rebalance", *(F.col(name) for name in PARTITIONS))
-        .sortWithinPartitions(*PARTITIONS, "measurement", "tenant_id", "ts_s")
+        .sortWithinPartitions(*PARTITIONS, *ORDER)
     )
 
 
@@ -59,8 +60,7 @@ def write_points(
 ) -> None:
     """Write rows of ``stored_points`` in one pass.
 
-    ``overwrite`` replaces the places and batches that the rows belong to and no others,
-    so a batch that runs again takes the place of its first run.
+    ``overwrite`` replaces the places and batches that the rows belong to and no others.
     """
     (
         laid_out(stored)
@@ -72,9 +72,30 @@ def write_points(
     )
 
 
+def write_batch(stored: DataFrame, folder: str, batch_id: int, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write the rows of one batch in the place of what its earlier runs wrote, wherever that was.
+
+    Without rows, what earlier runs wrote is removed. A batch that was compacted meanwhile is replaced as well.
+    """
+    replace_batch(stored, folder, batch_id, PARTITIONS, lambda: write_points(stored, folder, rows_per_file, mode="overwrite"))
+    generations.revive_batch(stored.sparkSession, folder, batch_id)
+
+
+def compact_points(
+    spark: SparkSession, folder: str, upto_batch: int, rows_per_file: int = ROWS_PER_FILE, most_parts: int = generations.MOST_PARTS
+) -> generations.Generation:
+    """Merge the small files of committed batches; the batch of each row is kept."""
+    return generations.compact(spark, folder, SCHEMA, upto_batch, PLACE, ORDER, rows_per_file, most_parts)
+
+
+def batch_files(spark: SparkSession, folder: str) -> DataFrame:
+    """What stands in the batches' own files, without parts; the table that writes go to."""
+    return spark.read.schema(f"{SCHEMA}, batch_id BIGINT").parquet(folder)
+
+
 def read_encoded(spark: SparkSession, folder: str) -> DataFrame:
     """The table with its names as they stand in the directories."""
-    return spark.read.schema(SCHEMA).parquet(folder)
+    return generations.read_live(spark, folder, SCHEMA)
 
 
 def read_points(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Each micro-batch is computed once, kept, and written to every sink before Spark
 commits its offsets. Every sink keeps the rows of a batch in directories of their own,
-which a rerun of the same batch overwrites: a batch that failed half way, or an
-executor or driver that was lost, leaves no duplicates behind.
+which a rerun of the same batch replaces, also where its rows go elsewhere the second
+time: a batch that failed half way, or an executor or driver that was lost, leaves no
+duplicates behind. ``compact_sinks`` merges the small files of committed batches.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,9 +30,11 @@ from tidegate.operators.quarantine import STRICT_RAW, STRICT_ROLLUP
 from tidegate.operators.routing import KEY, first_seen_keys, provisioning_plan
 from tidegate.plans.ingest import raw_pipeline, rollup_pipeline
 from tidegate.schemas import ORIGIN, POLL_RECORDS
-from tidegate.sources.backup import backup_lines, write_backup
+from tidegate.sources.backup import backup_lines, rotate_backup, write_backup
+from tidegate.sources.generations import committed_batch, compact, read_live
 from tidegate.sources.layout import ROWS_PER_FILE
-from tidegate.sources.points_table import stored_points, write_points
+from tidegate.sources.points_table import compact_points, stored_points, write_batch
+from tidegate.sources.snapshots import SeenTable
 from tidegate.sources.wire import WireSource, read_raw_stream, read_rollup_streams
 
 # Reasons that belong to the write of a payload rather than to one record.
@@ -40,6 +43,10 @@ PAYLOAD_REASONS = ("beyond_retention",)
 # Fixed value: batches between two progress reports.
 REPORT_EVERY = 1000
 
+POLICY = ("path", "database", "retention_policy")
+DEAD_LETTERS = "topic STRING, `partition` INT, `offset` BIGINT, stage STRING, reason STRING, content STRING"
+OPS_LINES = "scope STRING, line STRING"
+
 
 class BatchRefused(RuntimeError):
     """A batch holds rows that must stop it; Spark will run it again."""
@@ -112,7 +119,7 @@ def ingest_batch(messages: DataFrame, batch_id: int, job: IngestJob) -> None:
                 write_backup(backup, _of_batch(job.sinks.backup, batch_id), job.rows_per_file, mode="overwrite")
         if job.sinks.points is not None:
             with _timed(millis, "points"):
-                write_points(stored_points(sound, batch_id), job.sinks.points, job.rows_per_file, mode="overwrite")
+                write_batch(stored_points(sound, batch_id), job.sinks.points, batch_id, job.rows_per_file)
         with _timed(millis, "dead_letter"):
             _write_dead_letters(rows, backup, batch_id, job)
         if job.sinks.ops is not None:
@@ -187,39 +194,61 @@ def write_ops_metrics(
     lines.write.mode("overwrite").parquet(_of_batch(job.sinks.ops, batch_id))
 
 
-def _earlier(spark: SparkSession, folder: str, schema: str, batch_id: int) -> DataFrame:
-    """Rows that batches before this one wrote; none before the first."""
+def _provision(sound: DataFrame, routes: DataFrame, batch_id: int, job: IngestJob) -> None:
+    """Plan what the routes of newly seen keys need, each key and each statement once.
+
+    Keys and planned policies of earlier batches are read from the buckets that this batch's fall in.
+    """
+    spark = sound.sparkSession
+    folder = job.sinks.provisioning.rstrip("/")
+    seen = SeenTable(spark, f"{folder}/keys", ", ".join(f"{name} STRING" for name in KEY), KEY)
+    made = SeenTable(spark, f"{folder}/planned", ", ".join(f"{name} STRING" for name in POLICY), POLICY[:2])
+    keys = sound.select(*KEY).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    news = first_seen_keys(keys, seen.before(keys, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = spark.read.schema(f"{schema}, batch_id BIGINT").parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    return rows.where(F.col("batch_id") < batch_id).drop("batch_id")
+        wanted = routes.join(news, list(KEY), "left_semi")
+        earlier = made.before(wanted.select(*POLICY[:2]).distinct(), batch_id)
+        known_databases, known_policies = earlier.select(*POLICY[:2]).distinct(), earlier
+        if job.catalog is not None:
+            databases, policies = job.catalog(spark)
+            known_databases = known_databases.unionByName(databases)
+            known_policies = known_policies.unionByName(policies)
+        path = _of_batch(f"{folder}/plan", batch_id)
+        plan = provisioning_plan(wanted, known_databases, known_policies)
+        plan.write.mode("overwrite").parquet(path)
+        made.add(spark.read.schema(plan.schema).parquet(path).select(*POLICY), batch_id)
+        seen.add(news, batch_id)
+    finally:
+        news.unpersist()
+        keys.unpersist()
 
 
-def _provision(sound: DataFrame, routes: DataFrame, batch_id: int, job: IngestJob) -> None:
-    """Plan what the routes of newly seen keys need, each key and each statement once."""
-    spark = sound.sparkSession
-    keys_folder = f"{job.sinks.provisioning.rstrip('/')}/keys"
-    plan_folder = f"{job.sinks.provisioning.rstrip('/')}/plan"
-    key_schema = ", ".join(f"{name} STRING" for name in KEY)
-    keys = first_seen_keys(sound, _earlier(spark, keys_folder, key_schema, batch_id))
-    planned = _earlier(
-        spark,
-        plan_folder,
-        "path STRING, database STRING, retention_policy STRING, statement STRING, step INT",
-        batch_id,
-    )
-    databases, policies = job.catalog(spark) if job.catalog else (None, None)
-    known_databases = planned.select("path", "database").distinct()
-    known_policies = planned.select("path", "database", "retention_policy")
-    if databases is not None:
-        known_databases = known_databases.unionByName(databases)
-        known_policies = known_policies.unionByName(policies)
-    plan = provisioning_plan(routes.join(keys, list(KEY), "left_semi"), known_databases, known_policies)
-    plan.write.mode("overwrite").parquet(_of_batch(plan_folder, batch_id))
-    keys.write.mode("overwrite").parquet(_of_batch(keys_folder, batch_id))
+def compact_sinks(spark: SparkSession, job: IngestJob, checkpoint: str, before_day: str | None = None) -> int:
+    """Merge the small files that a stream's committed batches have written; returns the last batch taken.
+
+    The stream and readers may go on meanwhile. The backup is rotated only up to ``before_day``, if one is given.
+    """
+    upto = committed_batch(spark, checkpoint)
+    if upto < 0:
+        return upto
+    if job.sinks.points is not None:
+        compact_points(spark, job.sinks.points, upto, job.rows_per_file)
+    compact(spark, job.sinks.dead_letter, DEAD_LETTERS, upto, order=("stage", "reason"))
+    if job.sinks.ops is not None:
+        compact(spark, job.sinks.ops, OPS_LINES, upto, order=("scope",))
+    if job.sinks.backup is not None and before_day is not None:
+        rotate_backup(spark, job.sinks.backup, upto, before_day, job.rows_per_file)
+    return upto
+
+
+def read_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """Dead letters of all batches, compacted or not."""
+    return read_live(spark, folder, DEAD_LETTERS)
+
+
+def read_ops(spark: SparkSession, folder: str) -> DataFrame:
+    """Counter and timer lines of all batches, compacted or not."""
+    return read_live(spark, folder, OPS_LINES)
 
 
 def start_ingest(
