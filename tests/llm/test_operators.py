@@ -162,9 +162,9 @@ def test_n_best_segmentations_are_the_best_and_decode():
     random.seed(1)
     texts = ["".join(random.choices(["the", "a", "n", " ", "  ", ".", "\n", "é", "漢", "▁", "ing"], k=random.randint(1, 5)))[:9] for _ in range(150)]
     for text, best in zip(texts, own.segment(pa.array(texts))):
-        assert [s for s, _ in best] == pytest.approx(every_score(own.vocabulary, text, 4))
-        assert len({tuple(ids) for _, ids in best}) == len(best)
-        for _, ids in best:
+        assert [s for s, *_ in best] == pytest.approx(every_score(own.vocabulary, text, 4))
+        assert len({tuple(ids) for _, ids, _ in best}) == len(best)
+        for _, ids, _ in best:
             assert own.vocabulary.decode(ids.tolist()) == text
 
 

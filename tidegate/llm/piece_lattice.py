@@ -6,8 +6,9 @@ the start, ordered by the score so far plus that exact rest (A*), then yields se
 
 Two neighbouring characters whose bytes stand next to each other in no piece are never joined, so a text is cut there and its
 parts are searched on their own: each distinct part once for its best and second-best (a bounded memory holds them). The
-N best of the text differ from the best in few parts: the N - 1 whose second-best costs least are enough, and only
-these are searched for N.
+N best of the text differ from the best in few parts: the N - 1 whose second-best costs least (of equal ones those that
+the rule for ties puts first) are enough, and only these are searched for N. The search over a long part keeps its
+ways as links to the ways they go on from, so memory grows with the part's length.
 
 Scores are natural logarithms of piece probabilities. A vocabulary that holds ranks instead of probabilities (whole
 numbers, as BPE models do) gets probabilities proportional to 1 / (rank + 1), bytes ranking last. Sums are kept in
@@ -33,16 +34,69 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from tidegate.llm.shared import as_bytes, chunks, crc
+from tidegate.llm.tokens import _gather
 
 N_BEST = 3
 #: Distinct parts that a Python worker remembers; above it the memory is emptied.
 CACHE_PARTS = 600_000
+#: Characters from which on the search keeps links; both ways give the same.
+LONG_PART = 200
 _MARK = "▁"
 _UNIT = 1_000_000
 
 Segmentation = tuple[int, tuple[int, ...]]
 
 
+class _Link:
+    """An id and the link to the id after it in the text; ``jump`` leads to a link further on, for quick comparison."""
+
+    __slots__ = ("depth", "id", "jump", "onward")
+
+    def __init__(self, onward: _Link | None, piece: int):
+        self.onward, self.id = onward, piece
+        self.depth = onward.depth + 1 if onward else 1
+        far = onward.jump if onward else None
+        even = onward and far and far.jump and onward.depth - far.depth == far.depth - far.jump.depth
+        self.jump = far.jump if even else onward
+
+
+def _comes_first(a: _Link | None, b: _Link | None) -> bool:
+    """Whether the ids of ``a``, read from the end of the text, come before those of ``b``."""
+    depth_a, depth_b = a.depth if a else 0, b.depth if b else 0
+    depth = min(depth_a, depth_b)
+    if not depth:
+        return depth_a < depth_b
+    while a.depth > depth:
+        a = a.jump if a.jump.depth >= depth else a.onward
+    while b.depth > depth:
+        b = b.jump if b.jump.depth >= depth else b.onward
+    if a is b:
+        return depth_a < depth_b
+    # Links at one depth have their jumps at one depth.
+    while a.onward is not b.onward:
+        a, b = (a.jump, b.jump) if a.jump is not b.jump else (a.onward, b.onward)
+    return a.id < b.id if a.id != b.id else depth_a < depth_b
+
+
+class _Way:
+    """A way from the end of a part back to ``at``."""
+
+    __slots__ = ("at", "cost", "done", "tail")
+
+    def __init__(self, cost: int, tail: _Link | None, at: int, done: int):
+        self.cost, self.tail, self.at, self.done = cost, tail, at, done
+
+    def __lt__(self, other: _Way) -> bool:
+        return self.cost < other.cost if self.cost != other.cost else _comes_first(self.tail, other.tail)
+
+    def ids(self) -> tuple[int, ...]:
+        found, link = [], self.tail
+        while link:
+            found.append(link.id)
+            link = link.onward
+        return tuple(found)
+
+
 class Vocabulary:
     def __init__(self, path: str):
         model = SentencePieceProcessor(model_file=path)
@@ -63,6 +117,10 @@ class Vocabulary:
         self.pieces = {t: (i, round(scores[i] * _UNIT)) for i, t in self.texts.items()}
         self.bytes = {i: b for b, i in self.byte_ids.items()}
         self.raw = {i: t.encode() for i, t in self.texts.items()} | {i: bytes([b]) for i, b in self.bytes.items()}
+        self.longest = max(map(len, self.pieces))
+        self.lengths = np.array([len(self.raw.get(i, b"")) for i in range(n)], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(self.raw.get(i, b"") for i in range(n)), np.uint8)
         # Every beginning of a piece; None where it is none itself, so that a search can stop where no piece goes on.
         self.begun: dict[str, tuple[int, int] | None] = {t[:k]: None for t in self.pieces for k in range(1, len(t))} | self.pieces
         # joined[x, y]: some piece has byte y after byte x, or y goes on with a character.
@@ -74,6 +132,8 @@ class Vocabulary:
 
     def n_best(self, part: str, n: int) -> list[Segmentation]:
         """(score, ids) of the best ``n`` segmentations of a part."""
+        if len(part) > LONG_PART:
+            return self.n_best_long(part, n)
         size, begun = len(part), self.begun
         least = -(1 << 62)
         best = [0] + [least] * size
@@ -109,6 +169,54 @@ class Vocabulary:
                 heapq.heappush(heap, (-(best[start] + score + done), tail + ids[::-1], start, done + score))
         return out
 
+    def n_best_long(self, part: str, n: int) -> list[Segmentation]:
+        """The same with links in place of tuples, and with edges that are looked up again when they are needed."""
+        size, begun = len(part), self.begun
+        least = -(1 << 62)
+        best = np.full(size + 1, least, np.int64)
+        best[0] = 0
+        for start in range(size):
+            here = int(best[start])
+            if here == least:
+                continue
+            alone = False
+            for end in range(start + 1, size + 1):
+                found = begun.get(part[start:end], False)
+                if found:
+                    alone = alone or end == start + 1
+                    best[end] = max(best[end], here + found[1])
+                elif found is False:
+                    break
+            if not alone:
+                best[start + 1] = max(best[start + 1], here + self.byte_score * len(part[start].encode()))
+        heap = [_Way(-int(best[size]), None, size, 0)]
+        out: list[Segmentation] = []
+        while heap and len(out) < n:
+            way = heapq.heappop(heap)
+            at = way.at
+            if at == 0:
+                out.append((way.done, way.ids()))
+                continue
+            for start in range(max(0, at - self.longest), at):
+                here = int(best[start])
+                found = self.pieces.get(part[start:at])
+                if here == least:
+                    continue
+                if found:
+                    done = way.done + found[1]
+                    heapq.heappush(heap, _Way(-(here + done), _Link(way.tail, found[0]), start, done))
+                elif start == at - 1:
+                    raw, tail = part[start].encode(), way.tail
+                    for b in reversed(raw):
+                        tail = _Link(tail, self.byte_ids.get(b, self.unknown))
+                    done = way.done + self.byte_score * len(raw)
+                    heapq.heappush(heap, _Way(-(here + done), tail, start, done))
+        return out
+
+    def spell(self, ids: np.ndarray) -> bytes:
+        """Bytes of the pieces."""
+        return _gather(self.flat, self.starts[ids], self.lengths[ids]).tobytes()
+
     def decode(self, ids: list[int]) -> str:
         """The text of a segmentation."""
         raw = b"".join([self.raw.get(i, b"") for i in ids])
@@ -127,18 +235,29 @@ class Segmenter:
         self.number: dict[str, int] = {}
         self.arrays: list[np.ndarray] = []
         self.costs: list[int] = []  # of the second-best, or more than any
+        self.behind: list[bool] = []  # whether the second-best's ids, read from the end, come after those of the best
         self.scores: list[int] = []
+        self.deep: dict[int, list[Segmentation]] = {}  # the N best of parts that were looked into
 
     def _learn(self, part: str) -> int:
         got = self.vocabulary.n_best(part, 2)
         k = self.number[part] = len(self.arrays)
         self.arrays.append(np.array(got[0][1], np.int32))
         self.costs.append(got[0][0] - got[1][0] if len(got) > 1 else 1 << 60)
+        self.behind.append(len(got) < 2 or got[1][1][::-1] > got[0][1][::-1])
         self.scores.append(got[0][0])
         return k
 
-    def segment(self, texts: pa.Array) -> Iterator[list[tuple[float, np.ndarray]]]:
-        """For each whole text, (score, ids) of its best segmentations, best first."""
+    def _deep(self, k: int, part: str) -> list[Segmentation]:
+        found = self.deep.get(k)
+        if found is None:
+            found = self.vocabulary.n_best(part, self.n)
+            if len(part) <= LONG_PART:
+                self.deep[k] = found
+        return found
+
+    def segment(self, texts: pa.Array) -> Iterator[list[tuple[float, np.ndarray, bytes]]]:
+        """For each whole text, (score, ids, bytes that the ids spell) of its best segmentations, best first."""
         if len(self.number) > self.cache_parts:
             self._forget()
         raw = [b" " + t if t else b"" for t in as_bytes(texts)]
@@ -146,7 +265,7 @@ class Segmenter:
         chars = np.frombuffer(data, np.uint8)
         ends = np.cumsum([len(t) for t in raw], dtype=np.int64)
         if not len(chars):
-            yield from ([(0.0, np.zeros(0, np.int32))] for _ in raw)
+            yield from ([(0.0, np.zeros(0, np.int32), b"")] for _ in raw)
             return
         cut = np.append(True, ~self.vocabulary.joined[chars[:-1], chars[1:]])
         cut[ends[ends < len(chars)]] = True
@@ -157,6 +276,7 @@ class Segmenter:
         code = coded.indices.to_numpy(zero_copy_only=False)
         score_of = np.array([self.scores[k] for k in own], np.int64)
         cost_of = np.array([self.costs[k] for k in own], np.int64)
+        behind_of = np.array([self.behind[k] for k in own], bool)
         ids_of = [self.arrays[k] for k in own]
         sizes = np.array([len(x) for x in ids_of], np.int64)
         flat, starts = np.concatenate(ids_of), np.cumsum(sizes) - sizes
@@ -166,29 +286,49 @@ class Segmenter:
         at += np.repeat(starts[code] - behind + lengths, lengths)
         ids = flat[at]
         before = behind - lengths
+        # The bytes of all pieces, and where each piece's begin: all segmentations share those of unchanged parts.
+        spelled = memoryview(self.vocabulary.spell(ids))
+        byte_at = np.concatenate([[0], np.cumsum(self.vocabulary.lengths[ids])])
         first = np.searchsorted(edges, np.append(0, ends))  # parts of each text
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
             if a == b:
-                yield [(0.0, np.zeros(0, np.int32))]
+                yield [(0.0, np.zeros(0, np.int32), b"")]
                 continue
-            costs = cost_of[code[a:b]]
-            few = min(self.n - 1, b - a)
-            cheap = np.argpartition(costs, few - 1)[:few] if 0 < few < b - a else np.arange(few)
-            found = {a + p: self.vocabulary.n_best(distinct[code[a + p]], self.n) for p in sorted(cheap.tolist())}
-            ways: list[tuple[int, dict[int, int]]] = [(0, {})]
+            found = {a + p: self._deep(int(own[code[a + p]]), distinct[code[a + p]]) for p in self._cheapest(cost_of[code[a:b]], behind_of[code[a:b]])}
+            # Of equal costs those come first whose ids, read from the end, do: the last part where two differ decides.
+            ways: list[tuple[int, tuple[int, ...], dict[int, int]]] = [(0, (), {})]
             for p, best in found.items():
-                tried = [(c + best[0][0] - s, {**w, p: k} if k else w) for c, w in ways for k, (s, _) in enumerate(best)]
-                ways = heapq.nsmallest(self.n, tried, key=lambda x: x[0])
+                order = sorted(range(len(best)), key=lambda k: best[k][1][::-1])
+                place = {k: i for i, k in enumerate(order)}
+                tried = [(c + best[0][0] - s, (place[k], *t), {**w, p: k} if k else w) for c, t, w in ways for k, (s, _) in enumerate(best)]
+                ways = heapq.nsmallest(self.n, tried, key=lambda x: x[:2])
             score, low, high = int(score_of[code[a:b]].sum()), int(before[a]), int(behind[b - 1])
             out = []
-            for cost, way in ways:
-                pieces, done = [], low
+            for cost, _, way in ways:
+                pieces, spelling, done = [], [], low
                 for p, k in way.items():  # in the order of the text
-                    pieces += [ids[done : before[p]], np.array(found[p][k][1], np.int32)]
+                    other = np.array(found[p][k][1], np.int32)
+                    pieces += [ids[done : before[p]], other]
+                    spelling += [spelled[byte_at[done] : byte_at[before[p]]], self.vocabulary.spell(other)]
                     done = int(behind[p])
-                out.append(((score - cost) / _UNIT, np.concatenate([*pieces, ids[done:high]])))
+                pieces.append(ids[done:high])
+                spelling.append(spelled[byte_at[done] : byte_at[high]])
+                out.append(((score - cost) / _UNIT, np.concatenate(pieces), b"".join(spelling)))
             yield out
 
+    def _cheapest(self, costs: np.ndarray, behind: np.ndarray) -> list[int]:
+        """The N - 1 parts whose second-best is first, in the order of the text.
+
+        Of equal costs those come first whose second-best comes before the best, nearest to the end first, then the
+        others, farthest from the end first: read from the end, that is the order of the texts' ids.
+        """
+        few = min(self.n - 1, len(costs))
+        if few == 0:
+            return []
+        near = np.flatnonzero(costs <= np.partition(costs, few - 1)[few - 1])
+        order = np.lexsort((np.where(behind[near], near, -near), behind[near], costs[near]))
+        return sorted(near[order[:few]].tolist())
+
 
 _SEGMENTERS: dict[tuple[str, int], Segmenter] = {}
 
@@ -218,8 +358,10 @@ def segmentations(docs: DataFrame, n: int = N_BEST, model: str | None = None, wi
             rows = []
             texts = as_bytes(batch.column("text")) if with_decoded else [None] * batch.num_rows
             for doc, text, best in zip(batch.column("doc_id").to_pylist(), texts, own.segment(batch.column("text"))):
-                for rank, (score, ids) in enumerate(best, 1):
-                    back = own.vocabulary.decode(ids.tolist()).encode() if with_decoded else b""
+                for rank, (score, ids, raw) in enumerate(best, 1):
+                    back = raw.removeprefix(b" ") if with_decoded else b""
+                    if with_decoded and back != text and text:  # pieces that spell no text are replaced
+                        back = own.vocabulary.decode(ids.tolist()).encode()
                     rows.append((doc, rank, score, len(ids), crc(ids), ids if with_ids else None, zlib.crc32(back), back == (text or b"")))
             columns = list(zip(*rows)) or [()] * 8
             kinds = (pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64())
