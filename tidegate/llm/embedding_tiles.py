@@ -11,7 +11,8 @@ vectors as they were given, in double precision.
 Equal vectors of a label are one class and are compared once; their links count for every copy. Only vectors with the
 same label and the same number of components are compared. Null labels and vectors that are null, empty, zero or hold
 null or non-finite components link with nothing: n_links 0, their own id as component_id, kept. Repeated rows each get
-a row and count as other vectors. An empty table gives no rows; other columns are left out.
+a row and count as other vectors. Rows without an id link like any other; their component_id is the smallest id that they
+reach, and where there is none it is null and they are kept. An empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations
@@ -130,8 +131,9 @@ def embedding_links(vectors: DataFrame, least: float = 0.98, tile_rows: int = TI
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     sound = F.col("label").isNotNull() & F.coalesce(finite & F.exists("embedding", lambda v: v != 0), F.lit(False))
-    classes = rows.where(sound).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    classes = store(classes, "vectors")
+    classes = rows.where(sound).groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    # Numbered once and stored, so the numbers stay; rows without an id take part like any other.
+    classes = store(classes.withColumn("rep", F.monotonically_increasing_id()), "vectors")
 
     sums: dict[int, np.ndarray] = {}
     for r in classes.select("embedding").mapInArrow(_sums, "size long, cell long, value double").groupBy("size", "cell").agg(F.sum("value").alias("value")).collect():
@@ -150,7 +152,7 @@ def embedding_links(vectors: DataFrame, least: float = 0.98, tile_rows: int = TI
             yield pa.record_batch([*batch.columns, *(pa.array(cell[:, k].copy()) for k in range(3))], names=[*batch.schema.names, "size", "x", "y"])
 
     label_type = dict(classes.dtypes)["label"]
-    placed = classes.mapInArrow(cells, f"label {label_type}, embedding array<double>, rep long, copies long, size long, x long, y long")
+    placed = classes.drop("least").select("label", "embedding", "rep", "copies").mapInArrow(cells, f"label {label_type}, embedding array<double>, rep long, copies long, size long, x long, y long")
     placed = store(placed, "placed")
     cell = ["label", "size", "x", "y"]
     tiles = placed.groupBy(*cell).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("tiles"))
@@ -175,13 +177,15 @@ def embedding_links(vectors: DataFrame, least: float = 0.98, tile_rows: int = TI
     pairs = ahead.join(tiles.select(*cell, "tile", F.col("members").alias("other")), cell).where("tile > after").select("members", "other")
     links = store(within.union(pairs.mapInArrow(compare, "a long, b long, links long")), "links")
 
-    found = components(links.select("a", "b")).withColumnRenamed("node", "rep")
+    found = store(components(links.select("a", "b")).withColumnRenamed("node", "rep"), "found")
+    smallest = found.join(classes.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("smallest"))
+    found = found.join(smallest, "component")
     counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     known = classes.join(found, "rep", "left").join(counts, "rep", "left").select(
-        "label", "embedding", F.coalesce("component", "rep").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        "label", "embedding", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("smallest")).alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     component = F.coalesce("component", "vec_id")
     good = rows.where(sound).join(known, ["label", "embedding"], "left")
-    good = good.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    good = good.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
     bad = rows.where(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     return good.union(bad)
 

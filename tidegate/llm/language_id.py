@@ -49,6 +49,7 @@ class Settings:
     cost: float = 1.0
     rounds: int = 30
     slope: float = 2.0
+    slack: float = 0.05
     families: dict[str, tuple[str, ...]] = field(default_factory=lambda: FAMILIES)
 
 
@@ -61,12 +62,17 @@ class Model:
     pairs: list[tuple[str, str]]
     weights: np.ndarray
     biases: np.ndarray
+    #: The least score of a labelled row whose language was found; 0 without any.
+    least: float = 0.0
 
     def predict(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
         """(language, score) by text; texts must be lower-cased."""
         if not self.families:
             return [(UNKNOWN, 0.0)] * len(texts)
-        margins = hashed.scores(texts, self.weights, self.settings.orders) + self.biases
+        return self.judge(hashed.scores(texts, self.weights, self.settings.orders) + self.biases)
+
+    def judge(self, margins: np.ndarray) -> list[tuple[str, float]]:
+        """(language, score) by margins of all machines."""
         sure = 1.0 / (1.0 + np.exp(-self.settings.slope * margins))
         n = len(self.families) if len(self.families) > 1 else 0
         out = []
@@ -158,7 +164,10 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
             pairs.append((a, b))
     weights = np.array([w * scale / np.sqrt(1 << settings.bits) for w, _ in machines]).reshape(len(machines), 1 << settings.bits)
     biases = np.array([b for _, b in machines]) - weights @ centre
-    return Model(settings, listed, pairs, weights, biases)
+    model = Model(settings, listed, pairs, weights, biases)
+    if len(y):
+        model.least = min((score for (found, score), known in zip(model.judge(x @ weights.T + biases), y) if found == known), default=0.0)
+    return model
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -175,8 +184,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """Rows of ``docs`` (all their columns) whose language is known with a score of ``least`` or more; no null ids."""
+def keep_identified(docs: DataFrame, model: Model, least: float | None = None) -> DataFrame:
+    """Rows of ``docs`` (all their columns) whose language is known with a score of ``least`` or more; no null ids.
+
+    By default the limit is a little (``Settings.slack``) below the least score of a labelled row that was identified.
+    """
+    least = model.least * (1 - model.settings.slack) if least is None else least
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

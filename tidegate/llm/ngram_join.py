@@ -19,9 +19,10 @@ bits.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased; a document with fewer words than an n-gram has its whole
 sequence as its only one. Null and empty texts and texts without words have no n-grams and are linked with nothing:
-n_shingles 0, component_id their own id. Repeated rows each get a row. Rows that give one id several texts each get the
-component of their own text; texts that have the same id as their smallest are in one component. An empty table gives
-none; other columns are left out.
+n_shingles 0, component_id their own id. Repeated rows each get a row. Classes have numbers of their own, so rows that
+give one id several texts each get the component of their own text, and rows without an id take part like any other:
+their links count, and their component_id is the smallest id that they reach, null if there is none. An empty table
+gives none; other columns are left out.
 """
 
 from __future__ import annotations
@@ -73,7 +74,8 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def ngram_sets(docs: DataFrame, words: int, share: float) -> DataFrame:
-    """Per document: doc_id, n (distinct n-grams), key_a and key_b (128 bits of the set), grams (those in the first ``share`` of the order)."""
+    """Per document: doc_id, text_hash, n (distinct n-grams), key_a and key_b (128 bits of the set), grams (those in the
+    first ``share`` of the order)."""
     limit = np.uint64(min(int(share * 2**64), 2**64 - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,11 +85,11 @@ def ngram_sets(docs: DataFrame, words: int, share: float) -> DataFrame:
             halves = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
             first = sets if share >= 1 else [s[: np.searchsorted(s, limit)] for s in sets]
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), _lists(first)],
-                names=["doc_id", "n", "key_a", "key_b", "grams"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), _lists(first)],
+                names=["doc_id", "text_hash", "n", "key_a", "key_b", "grams"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n long, key_a long, key_b long, grams array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n long, key_a long, key_b long, grams array<long>")
 
 
 def linked(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -153,25 +155,33 @@ def _verify(percent: int):
     return run
 
 
-def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, tile_ngrams: int = TILE_NGRAMS) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, n_links (other documents with Jaccard of percent / 100 or more)."""
+def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, tile_ngrams: int = TILE_NGRAMS, with_groups: bool = False) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, n_links (other documents with Jaccard of percent / 100 or more).
+
+    ``with_groups`` adds text_hash, the xxhash64 of the text, and group, a number of the component that does not depend
+    on ids, null for documents without n-grams.
+    """
     missing = lambda n: n - F.ceil(F.lit(percent) * n / 100)  # noqa: E731  at exact multiples, percent * n / 100 is exact
     sets = store(ngram_sets(docs, words, FIRST_FRAGMENT), "sets")
-    classes = sets.where("n > 0").groupBy("key_a", "key_b").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"))
-    classes = store(classes, "classes")
+    classes = sets.where("n > 0").groupBy("key_a", "key_b").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    # Numbered once and stored, so the numbers stay.
+    classes = store(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     # Fact 1 on the first fragment. Copies count once: all of a class's rows have one key.
     grams = sets.select("key_a", F.explode("grams").alias("gram"))
     single = grams.groupBy("gram").agg(F.min("key_a").alias("key_a"), F.max("key_a").alias("most")).where("key_a = most")
     single = single.groupBy("key_a").agg(F.count("*").alias("single"))
     left = classes.join(single, "key_a", "left").where(F.coalesce("single", F.lit(0)) <= missing(F.col("n")))
-    left = store(left.select(F.col("rep").alias("doc_id"), "copies"), "left")
+    left = store(left.select("key_a", "key_b", "rep", "least", "copies"), "left")
 
-    # The same over all fragments, for those that are left. A doc_id that has several texts represents several classes,
-    # so classes are told apart by their keys here.
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(left.select("doc_id").distinct(), "doc_id", "left_semi")
-    full = ngram_sets(text, words, 1.0).where("n > 0").join(classes.select("key_a", "key_b", "rep", "copies"), ["key_a", "key_b"])
-    full = store(full.where("doc_id = rep").dropDuplicates(["key_a", "key_b"]).select("key_a", "rep", "n", "copies", "grams"), "full")
+    # The same over all fragments, for those that are left: one row of each class, found by its smallest id, among those
+    # without an id where it has none. A doc_id may have several texts, so classes are told apart by their keys.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    text = rows.join(left.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    if not left.where("least is null").isEmpty():
+        text = text.unionByName(rows.where("doc_id is null"))
+    full = ngram_sets(text, words, 1.0).where("n > 0").join(left, ["key_a", "key_b"])
+    full = store(full.where("doc_id <=> least").dropDuplicates(["key_a", "key_b"]).select("key_a", "rep", "n", "copies", "grams"), "full")
     grams = full.select("key_a", F.explode("grams").alias("gram"))
     single = grams.groupBy("gram").agg(F.min("key_a").alias("key_a"), F.max("key_a").alias("most")).where("key_a = most")
     single = single.groupBy("key_a").agg(F.count("*").alias("single"))
@@ -201,12 +211,15 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, tile_ngrams:
     pairs = ahead.join(large.select("component", "tile", F.col("members").alias("other")), ["component", "tile"]).select("members", "other")
     links = store(within.union(pairs.mapInArrow(_verify(percent), "a long, b long, links long")), "links")
 
-    found = components(links.select("a", "b"))
+    found = store(components(links.select("a", "b")).withColumnRenamed("node", "rep"), "found")
     counts = links.groupBy("a").agg(F.sum("links").alias("links"))
+    smallest = found.join(classes.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("smallest"))
     classes = (
-        classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        classes.join(found.join(smallest, "component"), "rep", "left")
         .join(counts.withColumnRenamed("a", "rep"), "rep", "left")
-        .select("key_a", "key_b", F.coalesce("component", "rep").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        .select("key_a", "key_b", F.coalesce("component", "rep").alias("group"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("smallest")).alias("smallest"),
+                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
-    return sets.select("doc_id", "n", "key_a", "key_b").join(classes, ["key_a", "key_b"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return sets.select("doc_id", "text_hash", "n", "key_a", "key_b").join(classes, ["key_a", "key_b"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        *(["text_hash", "group"] if with_groups else []))
