@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir), docs being the documents that its predec
 ``documents``. All but the last return such documents; the last returns the packing. Each works on all rows it gets:
 
 * ``language_id`` drops documents without a language: null, empty or without letters, and those whose language is
-  anyone's guess: a score 5 % below the least of any labelled row that was identified. That drops long texts of random
-  letters; a few random letters look like a short text and stay.
+  anyone's guess: a score 5 % below the least of any labelled row that was identified. How much that drops depends on
+  the hardest of those rows; random letters that score as high as it does stay.
 * ``toxicity`` drops documents that the last model of the chain calls toxic.
 * ``near_duplicates`` keeps one document of each group linked by 80 % or more common five-word n-grams, that with the
   smallest id; documents without words are linked with nothing and stay.
