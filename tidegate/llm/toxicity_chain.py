@@ -5,8 +5,9 @@ categories. In training those are out-of-fold: predicted by models that did not
 from errors like those they will meet; in prediction they come from the models fitted on all training rows.
 
 Words are runs of letters and digits (other ASCII characters separate), A-Z lower-cased. A feature is a word's presence
-anywhere in the whole text. The vocabulary has the words whose presence goes with some category most strongly, by
-log-likelihood ratio over the training rows: at most ``Settings.vocabulary`` words, each in ``least_rows`` rows or more.
+anywhere in the whole text. The vocabulary has every word whose presence goes with some category, by log-likelihood
+ratio over the training rows (``least_ratio`` or more), and that ``least_rows`` of them or more have. So it has at most
+1 / least_rows as many words as the training rows have together; features are kept as (row, word) pairs.
 
 Null and empty texts have no words; like all texts without a vocabulary word they get the models' base probabilities.
 Repeated rows each get a row, an empty table gives none, other columns are left out. Rows with a null label in any
@@ -34,12 +35,11 @@ _FOLD = bytes.maketrans(_SEPARATORS + bytes(range(65, 91)), b" " * len(_SEPARATO
 @dataclass(frozen=True)
 class Settings:
     training_rows: int = 8_000
-    vocabulary: int = 256
     least_rows: int = 8
     least_ratio: float = 25.0
     folds: int = 5
     penalty: float = 1e-5
-    rounds: int = 15
+    rounds: int = 25
     limit: float = 0.3
 
 
@@ -55,58 +55,116 @@ class Model:
         return chained(present(texts, self.words), self.weights)
 
 
+@dataclass
+class Features:
+    """Rows of 0/1 word features, as the places of the ones, and of a few further columns that every row has."""
+
+    row: np.ndarray
+    col: np.ndarray
+    words: int
+    extra: np.ndarray
+
+    def with_column(self, values: np.ndarray) -> Features:
+        return Features(self.row, self.col, self.words, np.hstack([self.extra, values[:, None]]))
+
+    def where(self, kept: np.ndarray) -> Features:
+        ones = kept[self.row]
+        return Features((np.cumsum(kept) - 1)[self.row[ones]], self.col[ones], self.words, self.extra[kept])
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        """Features times weights: those of the words, of the further columns, and the bias."""
+        return np.bincount(self.row, w[self.col], len(self.extra)) + self.extra @ w[self.words : -1] + w[-1]
+
+    def summed(self, v: np.ndarray) -> np.ndarray:
+        """One number a row, added up by feature; the bias is in every row."""
+        return np.concatenate([np.bincount(self.col, v[self.row], self.words), self.extra.T @ v, [v.sum()]])
+
+
 def words_in(text: bytes | None) -> set[bytes]:
     return set(text.translate(_FOLD).split()) if text else set()
 
 
-def present(texts: list[bytes | None], words: dict[bytes, int]) -> np.ndarray:
-    out = np.zeros((len(texts), len(words)))
+def present(texts: list[bytes | None], words: dict[bytes, int]) -> Features:
     known = words.keys()
-    for i, text in enumerate(texts):
-        for w in known & words_in(text):
-            out[i, words[w]] = 1.0
-    return out
+    found = [sorted(words[w] for w in known & words_in(t)) for t in texts]
+    return features_of(found, len(words))
+
+
+def features_of(found: list[list[int]], words: int) -> Features:
+    row = np.repeat(np.arange(len(found)), [len(x) for x in found])
+    return Features(row, np.array([i for x in found for i in x], np.intp), words, np.zeros((len(found), 0)))
 
 
 def logistic(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int) -> np.ndarray:
-    """Logistic regression with a bias (last weight) by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.full(x.shape[1], penalty * len(x))
+def _solved(x: Features, curve: np.ndarray, ridge: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """The Newton step by conjugate gradients, scaled by the diagonal: no matrix of words by words."""
+    scale = np.concatenate([np.bincount(x.col, curve[x.row], x.words), (x.extra**2).T @ curve, [curve.sum()]]) + ridge
+    step, rest = np.zeros(len(g)), g.copy()
+    way = rest / scale
+    now, goal = rest @ way, 1e-20 * (g @ (g / scale))
+    for _ in range(10 * len(g)):
+        if now <= goal or now == 0:
+            break
+        ahead = x.summed(curve * x.times(way)) + ridge * way
+        by = now / (way @ ahead)
+        step += by * way
+        rest -= by * ahead
+        before, now = now, rest @ (rest / scale)
+        way = rest / scale + now / before * way
+    return step
+
+
+def fit(x: Features, y: np.ndarray, penalty: float, rounds: int) -> np.ndarray:
+    """Logistic regression with a bias (last weight) by Newton steps, halved while they make the fit worse."""
+    ridge = np.full(x.words + x.extra.shape[1] + 1, penalty * len(y))
     ridge[-1] = 1e-6
-    w = np.zeros(x.shape[1])
+    ridge += 1e-9
+
+    def loss(w: np.ndarray) -> float:
+        z = x.times(w)
+        return float((np.logaddexp(0, z) - y * z).sum() + ridge @ (w * w) / 2)
+
+    w = np.zeros(len(ridge))
+    now = loss(w)
     for _ in range(rounds):
-        p = logistic(x @ w)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-9), x.T @ (p - y) + ridge * w)
-        w -= step
+        p = logistic(x.times(w))
+        step = _solved(x, p * (1 - p), ridge, x.summed(p - y) + ridge * w)
+        after = loss(w - step)
+        while after > now and np.abs(step).max() >= 1e-6:
+            step /= 2
+            after = loss(w - step)
+        if after > now:
+            break
+        w, now = w - step, after
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def chained(x: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
-    out = np.zeros((len(x), len(weights)))
+def chained(x: Features, weights: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros((len(x.extra), len(weights)))
     for k, w in enumerate(weights):
-        out[:, k] = logistic(np.hstack([x, out[:, :k], np.ones((len(x), 1))]) @ w)
+        out[:, k] = logistic(x.times(w))
+        x = x.with_column(out[:, k])
     return out
 
 
-def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray, settings: Settings) -> list[np.ndarray]:
+def fit_chain(x: Features, labels: np.ndarray, folds: np.ndarray, settings: Settings) -> list[np.ndarray]:
     """One weight vector per category; earlier categories enter by their out-of-fold probabilities."""
-    seen, weights = x, []
+    weights = []
     for k in range(labels.shape[1]):
         y = labels[:, k].astype(float)
-        weights.append(fit(seen, y, settings.penalty, settings.rounds))
-        out_of_fold = np.full(len(x), y.mean())
+        weights.append(fit(x, y, settings.penalty, settings.rounds))
+        out_of_fold = np.full(len(y), y.mean())
         for f in np.unique(folds):
             own = folds == f
             if (~own).any():
-                w = fit(seen[~own], y[~own], settings.penalty, settings.rounds)
-                out_of_fold[own] = logistic(np.hstack([seen[own], np.ones((own.sum(), 1))]) @ w)
-        seen = np.hstack([seen, out_of_fold[:, None]])
+                w = fit(x.where(~own), y[~own], settings.penalty, settings.rounds)
+                out_of_fold[own] = logistic(x.where(own).times(w))
+        x = x.with_column(out_of_fold)
     return weights
 
 
@@ -134,17 +192,18 @@ def train(labelled: DataFrame, categories: list[str], settings: Settings = Setti
             a, m = F.col(f"p{k}"), F.col("n")
             g = part(a, m, F.lit(pos)) + part(m - a, m, F.lit(n - pos)) + part(pos - a, n - m, F.lit(pos)) + part(n - m - pos + a, n - m, F.lit(n - pos))
             ratio = F.greatest(ratio, 2 * g)
-    best = tally.select("word", ratio.alias("ratio")).where(F.col("ratio") >= settings.least_ratio).orderBy(F.desc("ratio"), "word").limit(settings.vocabulary).collect()
-    words = {bytes(r["word"]): i for i, r in enumerate(best)}
+    best = tally.select("word", ratio.alias("ratio")).where(F.col("ratio") >= settings.least_ratio).select("word").collect()
+    words = {w: i for i, w in enumerate(sorted(bytes(r["word"]) for r in best))}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words.keys()
         for batch in chunks(batches):
-            x = present(as_bytes(batch.column("text")), words).astype(np.uint8)
-            yield pa.record_batch([batch.column("doc_id"), batch.column("labels"), pa.array([v.tobytes() for v in x], pa.binary())], names=["doc_id", "labels", "x"])
+            found = [sorted(words[w] for w in known & words_in(t)) for t in as_bytes(batch.column("text"))]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("labels"), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "labels", "found"])
 
-    got = sorted(rows.mapInArrow(features, "doc_id long, labels array<int>, x binary").collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"]))
-    x = np.array([np.frombuffer(r["x"], np.uint8) for r in got], float).reshape(len(got), len(words))
+    got = sorted(rows.mapInArrow(features, "doc_id long, labels array<int>, found array<int>").collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))
     folds = np.array([(r["doc_id"] or 0) % settings.folds for r in got])
+    x = features_of([r["found"] for r in got], len(words))
     return Model(settings, categories, words, fit_chain(x, np.array([r["labels"] for r in got]), folds, settings))
 
 
@@ -157,7 +216,7 @@ def training_sample(labels: DataFrame, most: int) -> DataFrame:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per document: doc_id, p_<category> for each, and toxic: the last category's probability reaches the limit."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most ``vocabulary`` words
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # its words are bounded by the training rows
     names = [f"p_{c}" for c in model.categories]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
