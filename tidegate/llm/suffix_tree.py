@@ -7,7 +7,7 @@ probability is that of the spelling. Contexts are up to ``depth`` preceding byte
 Counting covers the whole training corpus: tasks count (context, next byte) of full depth and Spark adds them up;
 shorter contexts are sums of longer ones. A context becomes a state of the tree
 
-* if it occurs ``least_count`` times or more (fewer are enough where they make up ``least_share`` of all positions), and
+* if it occurs ``least_count`` times or more, whatever the size of the corpus, and
 * if its next-byte distribution diverges from that of its longest proper suffix: the sum of n * ln(ratio) reaches
   ln(N) / 2 for each distinct next byte. Suffixes of states are states too.
 
@@ -50,7 +50,6 @@ GATHER = 1_500_000
 @dataclass(frozen=True)
 class Settings:
     depth: int = 5
-    least_share: float = 5e-7
     least_count: int = 50
     head_share: float = 5e-7
     common_share: float = 5e-7
@@ -190,16 +189,15 @@ def levels_of(counts: DataFrame, depth: int) -> list[DataFrame]:
     return levels
 
 
-def states_of(levels: list[DataFrame], total: int, settings: Settings) -> dict[int, DataFrame]:
+def states_of(levels: list[DataFrame], settings: Settings) -> dict[int, DataFrame]:
     """By context length, the states of the tree: (context, total, kinds)."""
     context = F.shiftrightunsigned("code", 8).alias("context")
     depth, kept = settings.depth, {}
     levels = [x.where("n > 0") for x in levels]
-    least = min(settings.least_count, settings.least_share * total)
     for k in range(depth, 0, -1):
         level = levels[k].select("code", context, "n")
         sums = level.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-        sums = sums.where(F.col("total") >= least)
+        sums = sums.where(F.col("total") >= settings.least_count)
         shorter = levels[k - 1].select(F.col("code").alias("short"), F.col("n").alias("short_n"), F.shiftrightunsigned("code", 8).alias("short_context"))
         short_sums = shorter.groupBy("short_context").agg(F.sum("short_n").alias("short_total"))
         rows = level.join(sums, "context").withColumn("short", _low("code", k))
@@ -219,7 +217,7 @@ def code_logs(counts: DataFrame, settings: Settings) -> DataFrame:
     if not total:
         return counts.select("code", "seen", F.lit(float(-np.log10(BYTES))).alias("log"))
     levels = levels_of(counts, settings.depth)
-    states = states_of(levels, total, settings)
+    states = states_of(levels, settings)
     kinds = levels[0].where("n > 0").count()
     p = levels[0].select("code", ((F.col("n") + F.lit(kinds / BYTES)) / F.lit(float(total + kinds))).alias("p"))
     levels[-1] = counts  # with ``seen``
@@ -248,7 +246,7 @@ def grow(counts: DataFrame, settings: Settings) -> Tree:
     kinds = (first > 0).sum()
     tree.start = (first + kinds / BYTES) / (total + kinds)
     context = F.shiftrightunsigned("code", 8).alias("context")
-    for k, kept in sorted(states_of(levels, total, settings).items()):
+    for k, kept in sorted(states_of(levels, settings).items()):
         states = kept.toPandas().sort_values("context")
         rows = levels[k].where("n > 0").select("code", context, "n").join(kept.select("context"), "context").select("code", "n").toPandas()
         nexts, numbers = rows["code"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(float)
