@@ -277,7 +277,7 @@ def test_ordinal_fit_orders_thresholds_and_grades(spark, odd, none):
 
 
 def test_suffix_tree_base_by_brute_force_and_probabilities_add_up(spark, odd, none):
-    settings = suffix_tree.Settings(common_share=0.05, least_share=1e-4)
+    settings = suffix_tree.Settings(common_share=0.05, least_count=2)
     got = {r["doc_id"]: r for r in suffix_tree.score(odd, bucket_of("doc_id", 10) != 0, settings).collect()}
     texts = [(r["doc_id"], words((r["text"] or "")) ) for r in odd.collect()]
     texts = [(i, [x.lower() for x in w] + [None]) for i, w in texts]
@@ -291,7 +291,7 @@ def test_suffix_tree_base_by_brute_force_and_probabilities_add_up(spark, odd, no
     assert suffix_tree.score(none, F.lit(True)).count() == 0
     untrained = suffix_tree.score(odd, F.lit(False)).where("doc_id = 3").first()
     assert untrained["score"] == pytest.approx(-4 * math.log10(256)) and untrained["n_known"] == 0 and untrained["held_out"]
-    tree = suffix_tree.grow(suffix_tree.context_counts(odd, 3), suffix_tree.Settings(depth=3, least_share=1e-4))
+    tree = suffix_tree.grow(suffix_tree.context_counts(odd, 3), suffix_tree.Settings(depth=3, least_count=2))
     assert sum(map(len, tree.contexts)) > 10
     for context in (b"\n\n\n", b"s a", b"zzz", b" th"):
         code = int.from_bytes(context, "big") << 8
@@ -390,3 +390,52 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == reachable({x for e in edges for x in e}, edges)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_toxicity_keeps_every_word_that_passes(spark):
+    rng = random.Random(12)
+    kinds = [f"slur{k}x" for k in range(300)]
+    data = [(i, f"{sentence(rng, 'en')} {kinds[i % 300] if i % 2 else ''} {sentence(rng, 'en')}", i % 2) for i in range(6000)]
+    table = spark.createDataFrame(data, "doc_id long, text string, toxic int").repartition(8)
+    model = toxicity_chain.train(table, ["toxic"], toxicity_chain.Settings(least_ratio=10))
+    # Odd numbers meet 150 of the 300 words, twenty rows each.
+    assert {w.decode() for w in model.words} >= {kinds[k] for k in range(1, 300, 2)}
+    texts = [f"{sentence(rng, 'en')} {kinds[k]}" for k in range(1, 300, 2)]
+    assert (model.probabilities([t.encode() for t in texts])[:, 0] >= model.settings.limit).all()
+    assert model.probabilities([sentence(rng, "en").encode()])[0, 0] < model.settings.limit
+
+
+def test_toxicity_fit_by_dense_newton_steps():
+    rng = np.random.default_rng(3)
+    n, words = 400, 700
+    dense = (rng.random((n, words)) < 0.02).astype(float)
+    y = (dense[:, :40].sum(axis=1) + rng.normal(size=n) > 1).astype(float)
+    extra = rng.random((n, 2))
+    x = toxicity_chain.features_of([list(np.flatnonzero(r)) for r in dense], words)
+    for k in range(2):
+        x = x.with_column(extra[:, k])
+    whole = np.hstack([dense, extra, np.ones((n, 1))])
+    ridge = np.full(words + 3, 1e-3 * n)
+    ridge[-1] = 1e-6
+    ridge += 1e-9
+    w = np.zeros(words + 3)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-whole @ w))
+        w -= np.linalg.solve((whole * (p * (1 - p))[:, None]).T @ whole + np.diag(ridge), whole.T @ (p - y) + ridge * w)
+    assert toxicity_chain.fit(x, y, 1e-3, 50) == pytest.approx(w, abs=1e-4)
+    own = np.arange(n) % 3 == 0
+    assert x.where(own).times(w) == pytest.approx(whole[own] @ w)
+
+
+def test_ngram_join_adds_up_partial_overlaps_of_many_tiles(spark, monkeypatch):
+    rng = random.Random(31)
+    monkeypatch.setattr(ngram_join, "TILE_DOCS", 7)
+    base = sentence(rng, "en", 40).split()
+    texts = []
+    for k in range(60):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            w[rng.randrange(len(w))] = f"new{k}"
+        texts.append(" ".join(w))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in ngram_join.ngram_join(spark.createDataFrame(rows(texts), DOCS), 4, 80).collect()}
+    assert got == brute_join(list(enumerate(texts)), 4, 80)
