@@ -488,6 +488,7 @@ stats AS (SELECT {_PAYLOAD}, count(*) AS n, CAST(sum(strlen(line)) + count(*) -
     o["route_lookup"] = _select(
         _ROUTED, f'SELECT {_ORIGIN}, tenant_id, measurement, path, "database", retention_policy FROM routed'
     )
+    o["route_lookup_prepared"] = o["route_lookup"]
     o["route_lookup_rollup"] = _select(
         _ROLLUP_POINTS + "," + _ROUTES,
         f"""SELECT {_ORIGIN}, p.level, r.path, r."database", r.retention_policy,
@@ -500,8 +501,8 @@ stats AS (SELECT {_PAYLOAD}, count(*) AS n, CAST(sum(strlen(line)) + count(*) -
     o["unrouted_level"] = _select(
         _ROUTED,
         f"""SELECT {_ORIGIN}, level, tenant_id, measurement FROM good
-        SEMI JOIN routes USING (tenant_id, measurement)
-        ANTI JOIN (SELECT tenant_id, measurement FROM routes WHERE rollup_level = 'full') f USING (tenant_id, measurement)""",
+        JOIN (SELECT tenant_id, measurement, list(rollup_level) AS known FROM routes GROUP BY ALL) k USING (tenant_id, measurement)
+        WHERE NOT list_contains(known, level)""",
     )
     o["route_not_found"] = _select(
         _ROUTED,

@@ -26,6 +26,7 @@ from tidegate.plans.ingest import raw_pipeline
 from tidegate.plans.restore import restore_target, restored_points, wipe_then_restore
 from tidegate.schemas import DIMENSIONS, POLL_RECORDS, RAW_FIELDS
 from tidegate.sources import backup, files, points_table
+from tidegate.sources.routes_table import prepared_routes
 from tidegate.sources.wire import WireSource, read_raw_stream, read_rollup_streams, with_level
 from tidegate.streaming.ingest import (
     IngestJob,
@@ -513,6 +514,14 @@ def route_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.select(*ORIGIN, "tenant_id", "measurement", "path", "database", "retention_policy")
 
 
+@query
+def route_lookup_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark, "routes")
+    by_key = prepared_routes(spark, folder, "1", lambda s: _routes(s, sf_dir))
+    routed = routing.route_lookup(_sound(_raw_points(spark, sf_dir)), by_key)
+    return routed.select(*ORIGIN, "tenant_id", "measurement", "path", "database", "retention_policy")
+
+
 @query
 def route_lookup_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = routing.attach_routes(_sound(_rollup_points(spark, sf_dir)), _routes(spark, sf_dir), salts=4)

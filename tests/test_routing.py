@@ -5,6 +5,7 @@ from tests.records import raw_df, rollup_df
 from tidegate.operators import routing
 from tidegate.operators.points import raw_points, rollup_points
 from tidegate.schemas import ROUTES
+from tidegate.sources.routes_table import prepared_routes
 
 DATABASES = "path STRING, database STRING"
 POLICIES = "path STRING, database STRING, retention_policy STRING"
@@ -113,3 +114,36 @@ def test_rollups_use_the_route_of_their_level(spark):
         route("CORE-a", "full", measurement="MAAS_agent.cpu"),
     )
     assert routing.attach_routes(points, routes).first()["retention_policy"] == "rp_20d"
+
+
+def test_prepared_routes_are_reduced_once_per_version(spark, tmp_path):
+    points = raw_points(raw_df(spark, *({"account": name} for name in ("a", "b", "c"))))
+    rows = [route("CORE-a", "full"), route("CORE-a", "full", database="other"), route("CORE-b", "5m")]
+    calls = []
+
+    def routes(session):
+        calls.append(len(rows))
+        return route_df(session, *rows)
+
+    ready = lambda version: prepared_routes(spark, str(tmp_path), version, routes)
+    key = ["offset", "database", "retention_policy", "route_reason"]
+    found = lambda routes: sorted(map(tuple, routing.attach_routes(points, routes).select(key).collect()))
+    for _ in range(2):
+        assert found(ready("a/1")) == found(route_df(spark, *rows))
+    assert calls == [3]
+    joined = routing.attach_routes(points, ready("a/1"))._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in joined
+    rows.append(route("CORE-c", "full", database="late"))
+    assert found(ready("a/2"))[2][1:] == ("late", "rp_5d", None) and calls == [3, 4]
+    assert found(ready("a/1"))[2][3] == "no_route"
+    files = tmp_path / "version=a%2F1" / "_SUCCESS"
+    files.unlink()
+    assert len(found(ready("a/1"))) == 3 and calls == [3, 4, 4]
+
+
+def test_rows_of_prepared_routes(spark):
+    rows = [route("a", "full"), route("a", "5m", policy="rp_10d"), route("b", "full")]
+    raw = route_df(spark, *rows)
+    again = routing.route_rows(routing.routes_by_key(raw))
+    assert sorted(map(tuple, again.select(raw.columns).collect())) == sorted(rows)
+    assert routing.route_rows(raw) is raw

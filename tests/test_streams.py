@@ -1,8 +1,11 @@
+from dataclasses import replace
+
 import pytest
 
 from tests.records import RAW, ROLLUP, messages
 from tidegate.schemas import ROUTES
 from tidegate.sources import backup, points_table
+from tidegate.sources.routes_table import prepared_routes
 from tidegate.sources.wire import WireSource, read_rollup_streams
 from tidegate.streaming import ingest
 from tidegate.streaming.ingest import BatchReporter, IngestJob, Sinks, raw_ingest_stream, rollup_ingest_stream
@@ -116,6 +119,15 @@ def test_source_options(spark, place):
     assert stream.isStreaming and stream.columns == ["topic", "partition", "offset", "value", "level"]
 
 
+def test_stream_with_prepared_routes(spark, place):
+    messages(spark, RAW, {**RAW, "account": "unknown"}).coalesce(1).write.json(place("wire"))
+    ready = lambda session: prepared_routes(session, place("routes"), "1", routes)
+    run(spark, place, replace(job(place), routes=ready)).awaitTermination()
+    assert points_table.read_points(spark, place("points")).count() == 1
+    assert letters(spark, place) == [("ingest", "no_route")]
+    assert spark.read.parquet(place("provisioning") + "/plan").count() == 1
+
+
 def test_reporter_speaks_every_thousand_batches():
     said = []
     reporter = BatchReporter(said.append)

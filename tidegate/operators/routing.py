@@ -40,9 +40,20 @@ def routes_by_key(routes: DataFrame) -> DataFrame:
     return per_level.select(*KEY, F.map_from_entries(F.array_compact(entries)).alias("targets"))
 
 
+def route_rows(routes: DataFrame) -> DataFrame:
+    """One row per key and level, of routes as rows (left as they are) or by key."""
+    if "targets" not in routes.columns:
+        return routes
+    rows = routes.select(*KEY, F.explode("targets").alias("rollup_level", "target"))
+    return rows.select(*KEY, "rollup_level", *(F.col(f"target.{name}").alias(name) for name in TARGET))
+
+
 def attach_routes(points: DataFrame, routes: DataFrame, salts: int = 1) -> DataFrame:
     """Add the target of each point, or NULLs and a ``route_reason``.
 
+    Routes are rows, which are reduced to one per key here, or the outcome of
+    ``routes_by_key``, as of ``prepared_routes``, which is joined as it is.
+
     ``no_route``: the key is unknown. ``no_level``: it has no route for this level.
     Rows without a key, as of messages that did not decode, match no route and are
     spread by salts that no route has; else all of them would meet in one task.
@@ -51,9 +62,9 @@ def attach_routes(points: DataFrame, routes: DataFrame, salts: int = 1) -> DataF
     keyless = reduce(lambda a, b: a | b, (F.col(name).isNull() for name in KEY))
     salt = F.when(keyless, salts + F.pmod(place, F.lit(1 << 20))).otherwise(F.pmod(place, F.lit(salts)))
     rows = points.withColumn("_salt", salt)
-    table = routes_by_key(routes).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
-    )
+    table = routes if "targets" in routes.columns else routes_by_key(routes)
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
+    table = table.withColumn("_salt", copies if salts > 1 else F.lit(0).cast("bigint"))
     joined = rows.join(table, [*KEY, "_salt"], "left").withColumn(
         "_target", F.try_element_at("targets", F.col("level"))
     )

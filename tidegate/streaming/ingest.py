@@ -27,7 +27,7 @@ from tidegate.operators.payloads import (
     payload_stats,
 )
 from tidegate.operators.quarantine import STRICT_RAW, STRICT_ROLLUP
-from tidegate.operators.routing import KEY, first_seen_keys, provisioning_plan
+from tidegate.operators.routing import KEY, first_seen_keys, provisioning_plan, route_rows
 from tidegate.plans.ingest import raw_pipeline, rollup_pipeline
 from tidegate.schemas import ORIGIN, POLL_RECORDS
 from tidegate.sources.backup import backup_lines, rotate_backup, write_backup
@@ -67,7 +67,8 @@ class Sinks:
 class IngestJob:
     """What to do with every batch of one stream.
 
-    ``routes`` is called per batch, so new routes are seen without a restart.
+    ``routes`` is called per batch, so new routes are seen without a restart; where it
+    gives ``prepared_routes``, a batch joins them without an aggregation of its own.
     ``on_error`` says what a refused payload does: ``dead_letter`` files its rows and
     goes on, ``fail`` stops the batch. ``strict`` also stops at the record errors that
     stop a batch in the original instead of filing them.
@@ -206,7 +207,7 @@ def _provision(sound: DataFrame, routes: DataFrame, batch_id: int, job: IngestJo
     keys = sound.select(*KEY).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     news = first_seen_keys(keys, seen.before(keys, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        wanted = routes.join(news, list(KEY), "left_semi")
+        wanted = route_rows(routes.join(news, list(KEY), "left_semi"))
         earlier = made.before(wanted.select(*POLICY[:2]).distinct(), batch_id)
         known_databases, known_policies = earlier.select(*POLICY[:2]).distinct(), earlier
         if job.catalog is not None:
