@@ -275,7 +275,8 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, tile_ngrams:
     # All n-grams of those that are left: one row of each class, found by its smallest id, among those
     # without an id where it has none. A doc_id may have several texts, so classes are told apart by their keys.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    text = rows.join(left.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # The ids grow with the table, so they are merged at every size: the same plan for small and large inputs.
+    text = rows.join(left.select(F.col("least").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
     if not left.where("least is null").isEmpty():
         text = text.unionByName(rows.where("doc_id is null"))
     full = ngram_sets(text, words, 1.0).where("n > 0").join(left, ["key_a", "key_b"])
