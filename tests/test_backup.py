@@ -61,6 +61,35 @@ def test_a_crowded_place_is_split_and_stays_whole(spark, tmp_path):
     assert backup.read_backup(spark, compacted).count() == 301
 
 
+def test_the_input_is_computed_once_and_sorted_once(spark, tmp_path):
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    rows = routed(spark, *(one(i) for i in range(200)), *(one(i, database="other") for i in range(30))).repartition(3)
+    lines = backup.backup_lines(rows)
+    lines = lines.mapInArrow(counted, lines.schema)
+    backup.write_backup(lines, str(tmp_path / "b"), rows_per_file=70)
+    assert passed.value == 230
+    backup.compact_backup(spark, str(tmp_path / "b"), str(tmp_path / "c"), rows_per_file=70)
+    for folder, files in (("b", 3), ("c", 3)):
+        assert backup.read_backup(spark, str(tmp_path / folder)).count() == 230
+        crowded = sorted(glob.glob(f"{tmp_path}/{folder}/host=*/database=myDB1/*/*/*.gz"))
+        texts = [gzip.open(name, "rt").read().splitlines() for name in crowded]
+        assert len(texts) >= files and all(text[0] == "# DML" and text[3] != "# DML" for text in texts)
+        assert all(len(text) <= 73 and text[3:] == sorted(text[3:], key=lambda line: int(line.split()[-1])) for text in texts)
+
+
+def test_names_that_need_encoding_have_their_own_header(spark, tmp_path):
+    rows = routed(spark, one(1, database="a/b", policy="p"), one(2, database="a", policy="b/p"))
+    backup.write_backup(backup.backup_lines(rows), str(tmp_path / "b"))
+    assert backup.header_mismatches(spark, str(tmp_path / "b")).count() == 0
+    assert backup.read_backup(spark, str(tmp_path / "b")).count() == 2
+
+
 def test_odd_names_and_carriage_returns_come_back(spark, tmp_path):
     line = 'm,tenantId=t,a="x\ry" f=1.0 1557777267'
     rows = routed(spark, ("http://test_x.com", "a/b%", "a b", 1557777267, line))

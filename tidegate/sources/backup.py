@@ -6,12 +6,12 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidegate.functions.places import dml_header, instance_host, payload_timestamp, utc_day
 from tidegate.functions.text import has_text
+from tidegate.schemas import ORIGIN
 from tidegate.sources import files, generations
-from tidegate.sources.layout import ROWS_PER_FILE, spread
+from tidegate.sources.layout import ROWS_PER_FILE
 
 # Directory levels, outermost first; names are URL-encoded inside them.
 PLACE = ("host", "database", "retention_policy", "day")
@@ -68,22 +68,60 @@ def backup_manifest(lines: DataFrame) -> DataFrame:
     return lines.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("lines"))
 
 
-def with_headers(sliced: DataFrame) -> DataFrame:
-    """Rows of ``spread`` laid out for writing: the first of each file carries the header.
+def _numbered(rows_per_file: int):
+    """A function for ``mapInArrow`` that deals the rows of each place in a task to files and adds a row before each.
 
-    The shuffle on (place, slice) and one sort serve the header and the write: rows of
-    a file are neighbours, in order of arrival.
+    What it keeps are the places of one task and how many rows they had so far. It is
+    nested, and imports what it needs, so workers can run it without this package.
     """
-    window = Window.partitionBy(*PLACE, "slice").orderBy("topic", "partition", "offset")
-    header = dml_header(F.col("database"), F.col("retention_policy"))
-    return sliced.withColumn("_nth", F.row_number().over(window)).select(
-        F.url_encode("host").alias("host"),
-        F.url_encode("database").alias("database"),
-        F.url_encode("retention_policy").alias("retention_policy"),
-        "day",
-        F.when(F.col("_nth") == 1, F.concat(header, F.lit("\n"), F.col("line")))
-        .otherwise(F.col("line"))
-        .alias("value"),
+    place = PLACE
+
+    def number(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        seen: dict[str, int] = {}
+        for batch in batches:
+            # Encoded names hold no slash.
+            key = pc.binary_join_element_wise(*(batch.column(name) for name in place), "/").dictionary_encode()
+            group, names = key.indices.to_numpy(), key.dictionary.to_pylist()
+            sizes = np.bincount(group, minlength=len(names))
+            before = np.array([seen.get(name, 0) for name in names], dtype=np.int64)
+            nth = np.empty(len(group), dtype=np.int64)
+            nth[np.argsort(group, kind="stable")] = np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            nth += before[group]
+            seen.update(zip(names, (before + sizes).tolist(), strict=True))
+            lines = batch.append_column("file_no", pa.array(nth // rows_per_file))
+            yield lines.append_column("is_line", pa.array(np.ones(len(nth), dtype=bool)))
+            first = lines.filter(pa.array(nth % rows_per_file == 0))
+            if first.num_rows:
+                first = first.set_column(first.schema.get_field_index("line"), "line", pa.nulls(first.num_rows, pa.string()))
+                yield first.append_column("is_line", pa.array(np.zeros(first.num_rows, dtype=bool)))
+
+    return number
+
+
+def with_headers(sound: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Rows as they are written, in one pass over the input: places together, crowded ones
+    split by Spark, and within a task each run of ``rows_per_file`` rows of a place
+    headed by a row of its own, in order of arrival.
+
+    Which rows share a task is only known behind the shuffle, and no expression can
+    tell there which one is the first of its place; so the rows pass through Arrow once.
+    """
+    c = F.col
+    # Never NULL: Spark's writer would sort once more by columns that may be.
+    encoded = [F.coalesce(F.url_encode(name), F.lit("")).alias(name) for name in PLACE[:3]]
+    placed = sound.select(*encoded, F.coalesce("day", F.lit("")).alias("day"), *ORIGIN, "line")
+    names = ", ".join(f"{name} STRING NOT NULL" for name in PLACE)
+    schema = f"{names}, topic STRING, `partition` INT, `offset` BIGINT, line STRING, file_no BIGINT, is_line BOOLEAN"
+    header = dml_header(F.url_decode("database"), F.url_decode("retention_policy"))
+    return (
+        placed.hint("rebalance", *map(c, PLACE))
+        .mapInArrow(_numbered(rows_per_file), schema)
+        .sortWithinPartitions(*PLACE, "file_no", "is_line", *ORIGIN)
+        .select(*PLACE, F.when(c("is_line"), c("line")).otherwise(header).alias("value"))
     )
 
 
@@ -98,15 +136,16 @@ def write_backup(
     if not enabled:
         return
     sound = lines.where(F.col("backup_reason").isNull())
-    with spread(sound, PLACE, rows_per_file) as sliced:
-        (
-            with_headers(sliced)
-            .write.mode(mode)
-            .partitionBy(*PLACE)
-            .option("compression", "gzip")
-            .option("lineSep", "\n")
-            .text(folder)
-        )
+    (
+        with_headers(sound, rows_per_file)
+        .write.mode(mode)
+        .partitionBy(*PLACE)
+        .option("compression", "gzip")
+        .option("lineSep", "\n")
+        # A header and its lines fill a file exactly.
+        .option("maxRecordsPerFile", rows_per_file + 1)
+        .text(folder)
+    )
 
 
 def _text(reader: DataFrameReader, paths: list[str], batches: bool = False) -> DataFrame:
@@ -175,8 +214,7 @@ def _as_lines(encoded: DataFrame) -> DataFrame:
     return _decoded(lines).select(
         *PLACE,
         F.col("value").alias("line"),
-        # The position in the files stands for arrival. It also splits crowded
-        # places evenly where the text would not: copies of a line hash alike.
+        # The position in the files stands for arrival.
         F.lit("").alias("topic"),
         F.lit(0).alias("partition"),
         F.monotonically_increasing_id().alias("offset"),

@@ -1,46 +1,3 @@
-"""How rows are spread over files by the place they belong to."""
-
-from __future__ import annotations
-
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+"""How much of a place goes into one file."""
 
 ROWS_PER_FILE = 1_000_000
-
-
-@contextmanager
-def spread(
-    rows: DataFrame, place: tuple[str, ...], rows_per_file: int = ROWS_PER_FILE
-) -> Iterator[DataFrame]:
-    """The rows with a ``slice``, hash-partitioned by place and slice.
-
-    A place has one slice, a crowded one as many as it needs to keep each near
-    ``rows_per_file`` rows, so no task and no file grows with the largest place.
-    Counting reads only the place columns and combines before its shuffle. Crowded
-    places are at most rows / rows_per_file many; they are counted out first, so that
-    Spark knows their size when it plans the join: under its threshold the wide rows
-    stay where they are, above it both sides are shuffled.
-    """
-    crowded = (
-        rows.groupBy(*place)
-        .agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("slices"))
-        .where(F.col("slices") > 1)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    crowded.count()
-    chosen = F.pmod(F.xxhash64("topic", "partition", "offset"), F.coalesce("slices", F.lit(1)))
-    try:
-        # Repartitioned by name: a join that shuffled by place alone would otherwise
-        # be taken as good enough for what follows, with a crowded place in one task.
-        yield (
-            rows.join(crowded, list(place), "left")
-            .withColumn("slice", chosen)
-            .drop("slices")
-            .repartition(*place, "slice")
-        )
-    finally:
-        crowded.unpersist()
