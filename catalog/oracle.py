@@ -619,6 +619,14 @@ seen AS (SELECT r.* FROM routes r WHERE EXISTS (SELECT 1 FROM stored s
 
     o["stage_timings"] = """SELECT CAST(b AS BIGINT) AS batch_id, 'raw' AS listener, stage, true AS measured
         FROM (VALUES (0), (1)) AS batches(b), (VALUES ('check'), ('points'), ('dead_letter')) AS stages(stage)"""
+    o["route_lookup_timings"] = """SELECT CAST(b AS BIGINT) AS batch_id, 'raw' AS listener, stage, true AS measured
+        FROM (VALUES (0), (1)) AS batches(b),
+            (VALUES ('decode'), ('route_lookup'), ('check'), ('points'), ('dead_letter')) AS stages(stage)"""
+    o["batch_progress"] = _select(
+        _RAW,
+        """SELECT stage, CAST(2 AS BIGINT) AS batches, (SELECT count(*) FROM raw) AS input_rows, true AS measured
+        FROM (VALUES ('addBatch'), ('queryPlanning'), ('triggerExecution')) AS stages(stage)""",
+    )
     o["backup_of_late_rows"] = _select(
         _STREAM,
         """SELECT host, "database", retention_policy, count(*) AS saved,

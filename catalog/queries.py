@@ -28,6 +28,7 @@ from tidegate.schemas import DIMENSIONS, POLL_RECORDS, RAW_FIELDS
 from tidegate.sources import backup, files, points_table
 from tidegate.sources.routes_table import prepared_routes
 from tidegate.sources.wire import WireSource, read_raw_stream, read_rollup_streams, with_level
+from tidegate.streaming import progress
 from tidegate.streaming.ingest import (
     IngestJob,
     Sinks,
@@ -821,6 +822,33 @@ def stage_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timings.select("batch_id", "listener", "stage", (F.col("millis") >= 0).alias("measured"))
 
 
+@query
+def route_lookup_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with decoding and the route lookup timed apart."""
+    job, base = _stream_job(spark, sf_dir, "raw", "route-timings", ("points", "ops"), time_routing=True)
+    source = _raw_source(spark, sf_dir, files=2, limit=1)
+    raw_ingest_stream(spark, source, job, f"{base}/checkpoint").awaitTermination()
+    timings = ops.stage_timings(spark.read.parquet(job.sinks.ops))
+    return timings.select("batch_id", "listener", "stage", (F.col("millis") >= 0).alias("measured"))
+
+
+@query
+def batch_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spark's progress of all batches: input rows, and which of its stages were timed."""
+    job, base = _stream_job(spark, sf_dir, "raw", "progress", ("points",))
+    source = _raw_source(spark, sf_dir, files=2, limit=1)
+    with progress.ProgressLog(spark, f"{base}/progress") as log:
+        stream = raw_ingest_stream(spark, source, job, f"{base}/checkpoint")
+        stream.awaitTermination()
+        log.wait(stream)
+    stages = progress.progress_stages(progress.read_progress(spark, f"{base}/progress"))
+    return stages.where(F.col("stage").isin("addBatch", "queryPlanning", "triggerExecution")).groupBy("stage").agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.sum("input_rows").alias("input_rows"),
+        F.bool_and(F.col("millis") >= 0).alias("measured"),
+    )
+
+
 @query
 def backup_of_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows too old to be stored are in the backup all the same."""

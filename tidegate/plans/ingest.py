@@ -12,8 +12,7 @@ from tidegate.operators.routing import attach_routes, is_beyond_retention
 
 def raw_pipeline(messages: DataFrame, routes: DataFrame, as_of: int | None = None, salts: int = 1) -> DataFrame:
     """Raw messages -> points with target and reason (the message is kept as ``value``)."""
-    points = raw_points(decode_raw(messages), keep=("value",))
-    return _routed(points, routes, as_of, salts)
+    return route_points(raw_decoded(messages), routes, as_of, salts)
 
 
 def rollup_pipeline(
@@ -24,11 +23,19 @@ def rollup_pipeline(
     rollup_time: str | None = None,
 ) -> DataFrame:
     """Rollup messages of any level -> points with target and reason."""
-    points = rollup_points(decode_rollup(messages), keep=("value",), rollup_time=rollup_time)
-    return _routed(points, routes, as_of, salts)
+    return route_points(rollup_decoded(messages, rollup_time), routes, as_of, salts)
 
 
-def _routed(points: DataFrame, routes: DataFrame, as_of: int | None, salts: int) -> DataFrame:
+def raw_decoded(messages: DataFrame) -> DataFrame:
+    return raw_points(decode_raw(messages), keep=("value",))
+
+
+def rollup_decoded(messages: DataFrame, rollup_time: str | None = None) -> DataFrame:
+    return rollup_points(decode_rollup(messages), keep=("value",), rollup_time=rollup_time)
+
+
+def route_points(points: DataFrame, routes: DataFrame, as_of: int | None = None, salts: int = 1) -> DataFrame:
+    """Add target and reason to points that carry their message."""
     routed = attach_routes(points, routes, salts)
     late = F.lit(None).cast("string")
     if as_of is not None:

@@ -28,7 +28,7 @@ from tidegate.operators.payloads import (
 )
 from tidegate.operators.quarantine import STRICT_RAW, STRICT_ROLLUP
 from tidegate.operators.routing import KEY, first_seen_keys, provisioning_plan, route_rows
-from tidegate.plans.ingest import raw_pipeline, rollup_pipeline
+from tidegate.plans.ingest import raw_decoded, rollup_decoded, route_points
 from tidegate.schemas import ORIGIN, POLL_RECORDS
 from tidegate.sources.backup import backup_lines, rotate_backup, write_backup
 from tidegate.sources.generations import committed_batch, compact, read_live
@@ -74,6 +74,9 @@ class IngestJob:
     stop a batch in the original instead of filing them.
     ``catalog`` gives the (databases, policies) that exist before the stream starts.
     ``poll_records`` bounds a payload: its lines come from one run of so many offsets.
+    ``time_routing`` times decoding and the route lookup apart from all else. Points are
+    kept once more for it, until they are routed; else the first stage that needs rows
+    carries both.
     """
 
     kind: str
@@ -88,6 +91,7 @@ class IngestJob:
     rows_per_file: int = ROWS_PER_FILE
     poll_records: int = POLL_RECORDS
     catalog: Callable[[SparkSession], tuple[DataFrame, DataFrame]] | None = None
+    time_routing: bool = False
 
     def fatal_reasons(self) -> tuple[str, ...]:
         strict = STRICT_RAW if self.kind == "raw" else STRICT_ROLLUP
@@ -98,15 +102,21 @@ def ingest_batch(messages: DataFrame, batch_id: int, job: IngestJob) -> None:
     """Decode, check, route and write one batch."""
     spark = messages.sparkSession
     routes = job.routes(spark)
-    if job.kind == "raw":
-        rows = raw_pipeline(messages, routes, job.as_of, job.salts)
-    else:
-        rows = rollup_pipeline(messages, routes, job.as_of, job.salts, job.rollup_time)
+    points = raw_decoded(messages) if job.kind == "raw" else rollup_decoded(messages, job.rollup_time)
+    if job.time_routing:
+        points = points.persist(StorageLevel.MEMORY_AND_DISK)
     # Dead letters need the message, sound rows do not.
+    rows = route_points(points, routes, job.as_of, job.salts)
     rows = rows.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     millis: dict[str, int] = {}
     try:
+        if job.time_routing:
+            with _timed(millis, "decode"):
+                points.count()
+            with _timed(millis, "route_lookup"):
+                rows.count()
+            points.unpersist()
         with _timed(millis, "check"):
             _refuse(rows, job.fatal_reasons())
         sound = rows.where(F.col("reason").isNull())
@@ -127,6 +137,8 @@ def ingest_batch(messages: DataFrame, batch_id: int, job: IngestJob) -> None:
             write_ops_metrics(rows, batch_id, job, millis)
     finally:
         rows.unpersist()
+        if job.time_routing:
+            points.unpersist()
 
 
 @contextmanager
