@@ -124,3 +124,19 @@ def test_keys_are_ordered_by_key_not_by_pair(spark):
     rows = spark.sql("SELECT map('a-b', '1', 'a', '2') AS t, map('f', 1.0D) AS f, 1L AS s")
     line = lines.encode_line(F.lit("m"), F.col("t"), F.col("f"), F.col("s"))
     assert rows.select(line).first()[0] == "m,a=2,a-b=1 f=1.0 1"
+
+
+@pytest.mark.parametrize("ints", [None, "i"])
+def test_a_line_writes_each_number_once(spark, ints):
+    # Uses of an expression in one column are computed one by one.
+    rows = spark.range(1).select(F.create_map(F.lit("a"), F.col("id") / 2).alias("f"), F.create_map(F.lit("b"), "id").alias("i"))
+    line = lines.encode_line(F.lit("m"), F.create_map(F.lit("t"), F.lit("x")), F.col("f"), F.lit(1), ints and F.col(ints))
+    plan = rows.select(line.alias("line"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_number") <= 2  # with and without escaping, of which a row takes one
+    assert rows.select(line.alias("line")).first()["line"] == ("m,t=x a=0.0 1" if ints is None else "m,t=x a=0.0,b=0i 1")
+
+
+@pytest.mark.parametrize("number", [0.001, 0.0009999, 9999999.999999998, 1e7, -1e7, -0.0, 123456.789, 5e-324, float("nan")])
+def test_numbers_are_written_alike_on_both_sides_of_the_limits(spark, number):
+    plain = F.call_function("format_number", F.lit(number), F.lit(lines._DECIMAL))
+    assert one(spark, lines.decimal_text(F.lit(number))) == one(spark, plain)
