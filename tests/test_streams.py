@@ -134,3 +134,13 @@ def test_reporter_speaks_every_thousand_batches():
     for _ in range(2500):
         reporter.done()
     assert (said, reporter.batches) == ([1000, 2000], 2500)
+
+
+@pytest.mark.parametrize("sinks, held", [(("points",), {"tags", "fields", "int_fields"}), (("backup",), {"line"}), (("ops", "provisioning"), {"line"})])
+def test_a_batch_keeps_only_what_its_sinks_read(spark, place, monkeypatch, sinks, held):
+    kept = []
+    monkeypatch.setattr(ingest, "_refuse", lambda rows, fatal: kept.append(set(rows.columns)))
+    work = IngestJob("raw", routes, Sinks(**{"points": None, "dead_letter": place("dead"), **{name: place(name) for name in sinks}}))
+    ingest.ingest_batch(messages(spark, RAW, "{"), 0, work)
+    assert kept[0] & {"tags", "fields", "int_fields", "line"} == held
+    assert letters(spark, lambda name: f"{place(name)}/batch_id=0") == [("ingest", "malformed_json")]
