@@ -4,8 +4,10 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from catalog import queries
 from catalog.oracle import all_oracles
 from catalog.queries import all_queries
 
@@ -43,3 +45,11 @@ def test_same_rows_as_sql(spark, sql, name):
     theirs = expected.select(quoted).fetchall()
     ours = [tuple(row) for row in result.select(*columns).collect()]
     assert sorted(map(repr, ours)) == sorted(map(repr, theirs))
+
+
+def test_no_task_holds_a_whole_batch(spark):
+    # Files of one row group each, as a batch's messages are at this size, cannot be split.
+    source = queries._raw_source(spark, SF, batches=2)
+    sizes = [row["n"] for row in spark.read.parquet(source.path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 2 * source.max_files_per_batch == 2 * spark.sparkContext.defaultParallelism
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
