@@ -144,3 +144,22 @@ def test_a_batch_keeps_only_what_its_sinks_read(spark, place, monkeypatch, sinks
     ingest.ingest_batch(messages(spark, RAW, "{"), 0, work)
     assert kept[0] & {"tags", "fields", "int_fields", "line"} == held
     assert letters(spark, lambda name: f"{place(name)}/batch_id=0") == [("ingest", "malformed_json")]
+
+
+def test_counters_compute_their_rows_once(spark, place):
+    wire = messages(spark, RAW, {**RAW, "account": "unknown"}, "{", None).coalesce(1)
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    work = job(place)
+    rows = ingest.route_points(ingest.raw_decoded(wire.mapInArrow(counted, wire.schema)), routes(spark))
+    ingest.write_ops_metrics(rows, 0, work)
+    assert passed.value == 4
+    found = {(r["scope"], r["line"].split(" ")[1]) for r in spark.read.parquet(place("ops")).collect()}
+    ours = {r["line"] for r in spark.read.parquet(place("ops")).collect()}
+    assert ours == {r["line"] for r in ingest.ops_rows(rows, "raw", "box").collect()}
+    assert ("batch", "count=4") in found and ("source", "count=2") in found
