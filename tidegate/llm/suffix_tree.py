@@ -90,6 +90,7 @@ def _find(keys: np.ndarray, wanted: np.ndarray, where: np.ndarray) -> tuple[np.n
     if not len(keys):
         return at, np.zeros(len(wanted), bool)
     some = np.flatnonzero(where)
+    some = some[np.argsort(wanted[some])]  # in ascending order, each search begins near the last one
     at[some] = np.minimum(np.searchsorted(keys, wanted[some]), len(keys) - 1)
     return at, where & (keys[at] == wanted)
 
@@ -100,10 +101,14 @@ def spelled(text: bytes | None) -> bytes:
 
 def codes_of(texts: list[bytes | None], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """For every byte of every spelled text and its end: the code of its context and itself; and where each text's begin."""
+    return codes_of_spelled([spelled(t) for t in texts], depth)
+
+
+def codes_of_spelled(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`codes_of` of texts that are spelled already."""
     pad = b"\n" * depth
-    spelling = [spelled(t) for t in texts]
-    data = np.frombuffer(pad.join([b"", *(s + b"\n" for s in spelling)]) if texts else b"", np.uint8)
-    lengths = np.array([len(s) + 1 for s in spelling], np.int64)
+    data = np.frombuffer(pad.join([b"", *(s + b"\n" for s in texts)]) if texts else b"", np.uint8)
+    lengths = np.array([len(s) + 1 for s in texts], np.int64)
     begins = np.concatenate([[0], np.cumsum(lengths)])
     n = len(data) - depth
     if n <= 0:
@@ -159,8 +164,11 @@ def context_counts(docs: DataFrame, depth: int) -> DataFrame:
 
 def word_lists(texts: pa.Array) -> pa.ListArray:
     """Words of each text, lower-cased; null and empty texts have none."""
-    flat = pa.array([spelled(t) for t in as_bytes(texts)], pa.binary()).cast(pa.string())
-    return pc.split_pattern(flat, " ")
+    return words_of_spelled([spelled(t) for t in as_bytes(texts)])
+
+
+def words_of_spelled(texts: list[bytes]) -> pa.ListArray:
+    return pc.split_pattern(pa.array(texts, pa.binary()).cast(pa.string()), " ")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -280,7 +288,8 @@ def score(docs: DataFrame, training: Column, settings: Settings = Settings()) ->
         row = TaskContext.get().partitionId() << 40
         counts = known.value
         for batch in chunks(batches):
-            codes, begins = codes_of(as_bytes(batch.column("text")), settings.depth)
+            spelling = [spelled(t) for t in as_bytes(batch.column("text"))]
+            codes, begins = codes_of_spelled(spelling, settings.depth)
             number, keys = pd.factorize(codes)
             at, found = _find(head.value[0], keys, np.ones(len(keys), bool))
             in_head = found[number]
@@ -288,15 +297,18 @@ def score(docs: DataFrame, training: Column, settings: Settings = Settings()) ->
             scores = np.add.reduceat(score_of[number], begins[:-1]) if batch.num_rows else np.zeros(0)
             code_ends = np.concatenate([[0], np.cumsum(np.add.reduceat(~in_head, begins[:-1], dtype=np.int64))]) if batch.num_rows else np.zeros(1)
             rare_codes = pa.ListArray.from_arrays(pa.array(code_ends.astype(np.int32)), pa.array(codes[~in_head].view(np.int64)))
-            lists = word_lists(batch.column("text"))
+            lists = words_of_spelled(spelling)
             offsets = lists.offsets.to_numpy()
             coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
             offsets = offsets - offsets[0]
-            distinct_words = coded.dictionary.to_pylist()
-            of_word = np.array([counts.get(w, -1) if w else 0 for w in distinct_words], np.int64)
+            # Through numpy: to_pylist makes a scalar of each word first.
+            distinct_words = coded.dictionary.to_numpy(zero_copy_only=False)
+            given = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)
+            of_word = np.fromiter((counts.get(w, -1) for w in distinct_words), np.int64, len(distinct_words))
+            of_word[~given] = 0
             code = coded.indices.to_numpy(zero_copy_only=False)
             count = of_word[code]
-            full = np.array([bool(w) for w in distinct_words], bool)[code]
+            full = given[code]
             light = count < 0
             logs = np.where(light | ~full, 0.0, np.log10(np.maximum(count, 0) + prior))
             per_doc = lambda v: np.add.reduceat(v, offsets[:-1]) if len(v) else np.zeros(0)  # noqa: E731  every text has one entry at least
