@@ -53,3 +53,12 @@ def test_no_task_holds_a_whole_batch(spark):
     sizes = [row["n"] for row in spark.read.parquet(source.path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 2 * source.max_files_per_batch == 2 * spark.sparkContext.defaultParallelism
     assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def test_events_of_one_row_group_are_shared_by_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    source = queries._raw_source(spark, SF)
+    messages = spark.read.parquet(source.path)
+    sizes = [row["n"] for row in messages.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= cores
+    assert max(sizes) < 4 * sum(sizes) / len(sizes)
