@@ -1,3 +1,4 @@
+import os
 from dataclasses import replace
 
 import pytest
@@ -163,3 +164,20 @@ def test_counters_compute_their_rows_once(spark, place):
     ours = {r["line"] for r in spark.read.parquet(place("ops")).collect()}
     assert ours == {r["line"] for r in ingest.ops_rows(rows, "raw", "box").collect()}
     assert ("batch", "count=4") in found and ("source", "count=2") in found
+
+
+def test_a_batch_is_computed_once_and_kept_in_files_until_it_is_written(spark, place, monkeypatch):
+    wire = messages(spark, RAW, {**RAW, "account": "unknown"}, "{", None).coalesce(1)
+    passed, seen = spark.sparkContext.accumulator(0), []
+
+    def counted(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(ingest, "_refuse", lambda rows, fatal: seen.append((rows.storageLevel.useMemory, rows.inputFiles())))
+    ingest.ingest_batch(wire.mapInArrow(counted, wire.schema), 0, job(place))
+    assert passed.value == 4
+    cached, kept = seen[0]
+    assert not cached and kept
+    assert not any(os.path.exists(file.removeprefix("file://")) for file in kept)
