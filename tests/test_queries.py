@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from catalog import queries
+from catalog import fixtures, queries
 from catalog.oracle import all_oracles
 from catalog.queries import all_queries
 
@@ -62,3 +62,11 @@ def test_events_of_one_row_group_are_shared_by_the_cores(spark):
     sizes = [row["n"] for row in messages.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) >= cores
     assert max(sizes) < 4 * sum(sizes) / len(sizes)
+
+
+def test_rollups_are_shared_by_the_cores(spark):
+    # Spark joins the partitions of a small aggregate into few.
+    rollups = fixtures.rollup_records(fixtures.events(spark, SF))
+    sizes = [row["n"] for row in rollups.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism
+    assert max(sizes) < 4 * sum(sizes) / len(sizes)
