@@ -70,3 +70,14 @@ def test_rollups_are_shared_by_the_cores(spark):
     sizes = [row["n"] for row in rollups.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) >= spark.sparkContext.defaultParallelism
     assert max(sizes) < 4 * sum(sizes) / len(sizes)
+
+
+def test_rollup_messages_are_written_level_by_level(spark):
+    # Each level's shuffles are gone before the next level's, and a batch takes a bounded share of the files.
+    source = queries._rollup_source(spark, SF)
+    written = spark.read.parquet(source.path)
+    together = fixtures.rollup_wire(fixtures.events(spark, SF))
+    assert sorted(map(repr, written.collect())) == sorted(map(repr, together.collect()))
+    levels = written.groupBy(F.input_file_name()).agg(F.countDistinct("topic").alias("n")).collect()
+    assert {row["n"] for row in levels} == {1}
+    assert "maxBytesPerTrigger" in source.read_options()

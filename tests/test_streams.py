@@ -1,9 +1,11 @@
+import json
 import os
 from dataclasses import replace
 
 import pytest
 
 from tests.records import RAW, ROLLUP, messages
+from tidegate.plans.ingest import raw_pipeline, rollup_pipeline, routed_points
 from tidegate.schemas import ROUTES
 from tidegate.sources import backup, points_table
 from tidegate.sources.routes_table import prepared_routes
@@ -181,3 +183,55 @@ def test_a_batch_is_computed_once_and_kept_in_files_until_it_is_written(spark, p
     cached, kept = seen[0]
     assert not cached and kept
     assert not any(os.path.exists(file.removeprefix("file://")) for file in kept)
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {name for name in found.split("\n") if "shuffle_" in name}
+
+
+def nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from nodes(plan.children().apply(i))
+
+
+def test_shuffle_files_of_a_batch_go_with_it(spark, place):
+    wire = messages(spark, RAW, {**RAW, "account": "unknown"}, "{", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        before = shuffle_files(spark)
+        ingest.ingest_batch(wire, 0, job(place))
+        assert not shuffle_files(spark) - before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_batches_by_bytes_hold_the_same_rows(spark, place):
+    for i in range(3):
+        messages(spark, RAW, "{", offset=10 * i).coalesce(1).write.mode("append").json(place("wire"))
+    source = WireSource("json", place("wire"), max_bytes_per_batch=1)
+    raw_ingest_stream(spark, source, job(place), place("checkpoint")).awaitTermination()
+    stored = points_table.read_points(spark, place("points"))
+    assert stored.select("batch_id").distinct().count() == stored.count() == 3
+    assert letters(spark, place) == [("ingest", "malformed_json")] * 3
+
+
+ODD = ("{", None, "null", "[]", "[{}]", "{}", "17", '{"account": {"a": 1}}')
+SPOILED = ({"accountType": "FOO"}, {"account": 17}, {"account": None}, {"account": " a b "}, {"account": "unknown"}, {"collectionName": ["x"]}, {"units": {}}, {"start": "x"})
+
+
+@pytest.mark.parametrize("kind, record, topic", [("raw", RAW, "unified.metrics.json"), ("rollup", ROLLUP, "unified.metrics.json.5m"), ("rollup", ROLLUP, "unified.metrics.json.60m")])
+def test_messages_are_routed_before_they_are_decoded(spark, kind, record, topic):
+    whole = json.dumps(record)
+    cut = [whole[:n] for n in range(10, len(whole), 25)]
+    wire = messages(spark, record, *({**record, **odd} for odd in SPOILED), *ODD, *cut, f"[{whole}]", f"[{whole}, {{}}]", whole + "x", topic=topic)
+    pipeline = raw_pipeline if kind == "raw" else rollup_pipeline
+    expected, rows = pipeline(wire, routes(spark), as_of=2_000_000_000), routed_points(wire, kind, routes(spark), as_of=2_000_000_000)
+    ours, theirs = ([r.asDict(recursive=True) for r in found.orderBy("offset").collect()] for found in (rows, expected))
+    assert ours == theirs
+    # What crosses the join's shuffle is the message, not the point made of it.
+    joins = [node for node in nodes(rows._jdf.queryExecution().optimizedPlan()) if node.nodeName() == "Join"]
+    crossing = joins[0].children().apply(0).output().mkString(",")
+    assert "value" in crossing and not any(name in crossing for name in ("tags", "fields", "line", "metrics"))
