@@ -238,3 +238,11 @@ def test_messages_are_routed_before_they_are_decoded(spark, kind, record, topic)
     joins = [node for node in nodes(rows._jdf.queryExecution().optimizedPlan()) if node.nodeName() == "Join"]
     crossing = joins[0].children().apply(0).output().mkString(",")
     assert "value" in crossing and not any(name in crossing for name in ("tags", "fields", "line", "metrics"))
+
+
+def test_kept_batches_points_and_dead_letters_are_compressed_alike(spark, place, monkeypatch):
+    kept = []
+    monkeypatch.setattr(ingest, "_refuse", lambda rows, fatal: kept.extend(rows.inputFiles()))
+    ingest.ingest_batch(messages(spark, RAW, "{"), 0, job(place))
+    written = [name for sink in ("points", "dead") for name in spark.read.parquet(place(sink)).inputFiles()]
+    assert kept and written and all(name.endswith(".zstd.parquet") for name in kept + written)
